@@ -9,6 +9,7 @@ from tidewatch.plans.registry import ORACLE, QUERIES
 _MODULES = (
     "tidewatch.plans.q_scoring",
     "tidewatch.plans.q_series",
+    "tidewatch.plans.q_modal",
 )
 
 
