@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -15,11 +14,12 @@ MAX_BROADCAST_ROWS = 200_000
 def checked_broadcast(small: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
     """Broadcast ``small`` only after proving it has at most ``max_rows`` rows.
 
-    The side is persisted first so the size check and the join share one
-    computation.  Above the bound the frame is returned un-hinted and the join
-    becomes a shuffle join (with AQE skew handling).
+    The side is checkpointed first (written to the shared checkpoint folder)
+    so the size check and the join share one computation and the lineage of
+    the big upstream aggregate is cut.  Above the bound the frame is returned
+    un-hinted and the join becomes a shuffle join (with AQE skew handling).
     """
-    small = small.persist(StorageLevel.MEMORY_AND_DISK)
+    small = small.checkpoint(eager=True)
     n = small.limit(max_rows + 1).count()
     if n <= max_rows:
         return F.broadcast(small)

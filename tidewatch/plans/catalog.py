@@ -10,6 +10,8 @@ _MODULES = (
     "tidewatch.plans.q_scoring",
     "tidewatch.plans.q_series",
     "tidewatch.plans.q_modal",
+    "tidewatch.plans.q_network",
+    "tidewatch.plans.q_fusion",
 )
 
 
