@@ -6,6 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 _URL = r"http\S+"
+_NOT_LETTERS = r"[^a-zA-Z]+"
 _NOT_LETTER = r"[^a-zA-Z\s]"
 _SPACES = r"\s+"
 
@@ -22,6 +23,10 @@ def clean_text(col: str | Column, punct: str = " ") -> Column:
     """
     text = F.lower(F.coalesce(_c(col), F.lit("")))
     text = F.regexp_replace(text, _URL, "")
+    if punct == " ":
+        # every maximal run of non-letters (whitespace included) becomes one
+        # space: the same result as "non-letter -> space, then collapse spaces"
+        return F.trim(F.regexp_replace(text, _NOT_LETTERS, " "))
     text = F.regexp_replace(text, _NOT_LETTER, punct)
     text = F.regexp_replace(text, _SPACES, " ")
     return F.trim(text)
@@ -68,11 +73,8 @@ def join_multi_value(col: str | Column) -> Column:
 
 
 def count_occurrences(text: str | Column, keyword: str) -> Column:
-    """Non-overlapping substring occurrences of a literal keyword."""
+    """Non-overlapping substring occurrences of a literal keyword
+    (length lost by deleting every occurrence / keyword length)."""
     t = F.coalesce(_c(text), F.lit(""))
-    return (F.size(F.split(t, _escape(keyword), -1)) - 1).cast("bigint")
-
-
-def _escape(s: str) -> str:
-    import re
-    return re.escape(s)
+    return ((F.length(t) - F.length(F.replace(t, F.lit(keyword), F.lit(""))))
+            / F.lit(len(keyword))).cast("bigint")

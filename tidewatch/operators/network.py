@@ -12,6 +12,7 @@ from __future__ import annotations
 import heapq
 
 import pandas as pd
+from pyspark.ml.feature import NGram, RegexTokenizer, StopWordsRemover
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -27,10 +28,19 @@ PR_TOL = 1e-6
 
 def record_terms(records: DataFrame, clean_col: str = "clean_text", id_cols=("topic",),
                  stop_words=None) -> DataFrame:
-    """X1 in long form: one row per (id_cols..., term) occurrence."""
-    uni = records.select(*id_cols, TM.unigrams(F.col(clean_col), stop_words).alias("_uni"))
-    return uni.select(*id_cols, F.explode(F.concat(F.col("_uni"), TM.bigrams(F.col("_uni"))))
-                      .alias("term"))
+    """X1 in long form: one row per (id_cols..., term) occurrence.
+
+    Tokenising, stop-word removal and bigrams run in Spark ML's JVM
+    transformers (tokens of >= 2 letters, stop words removed before pairing).
+    """
+    stops = list(TM.spark_english_stop_words() if stop_words is None else stop_words)
+    base = records.select(*id_cols, F.coalesce(F.col(clean_col), F.lit("")).alias("_ct"))
+    tok = RegexTokenizer(inputCol="_ct", outputCol="_tok", pattern=" ", gaps=True,
+                         minTokenLength=TM.MIN_TOKEN_CHARS, toLowercase=False)
+    rem = StopWordsRemover(inputCol="_tok", outputCol="_uni", stopWords=stops, caseSensitive=True)
+    ngr = NGram(n=2, inputCol="_uni", outputCol="_bi")
+    out = ngr.transform(rem.transform(tok.transform(base)))
+    return out.select(*id_cols, F.explode(F.concat("_uni", "_bi")).alias("term"))
 
 
 def topic_term_counts(records: DataFrame, clean_col: str = "clean_text", stop_words=None) -> DataFrame:
@@ -39,7 +49,12 @@ def topic_term_counts(records: DataFrame, clean_col: str = "clean_text", stop_wo
 
 
 def topic_tfidf(counts: DataFrame) -> DataFrame:
-    """Raw tf x smooth idf ln((1+n)/(1+df)) + 1, L2-normalised per topic."""
+    """Raw tf x smooth idf ln((1+n)/(1+df)) + 1, L2-normalised per topic.
+
+    The (topic, term, tf) table feeds four branches, so it is checkpointed
+    once instead of re-tokenising the corpus for each.
+    """
+    counts = counts.checkpoint()
     n = counts.agg(F.count_distinct("topic").alias("_n"))
     df = counts.groupBy("term").agg(F.count(F.lit(1)).alias("_df"))
     w = (counts.join(df, "term").crossJoin(one_row(n))
@@ -87,45 +102,77 @@ def degrees(nodes: DataFrame, edges: DataFrame) -> DataFrame:
 
 # --- X6: PageRank as an iterative DataFrame job --------------------------------
 
+_SINK = "\u0000dangling"   # virtual node that collects the rank of dangling topics
+PR_BLOCK = 10              # iterations planned into one job
+
+
 def pagerank(nodes: DataFrame, edges: DataFrame, damping: float = DAMPING,
-             max_iter: int = PR_MAX_ITER, tol: float = PR_TOL) -> DataFrame:
+             max_iter: int = PR_MAX_ITER, tol: float = PR_TOL, block: int = PR_BLOCK) -> DataFrame:
     """Weighted PageRank on the undirected graph (both directions).
 
     Uniform start and teleport; the rank of nodes without edges (dangling) is
-    spread uniformly.  Stops when the L1 change is below n * tol.  Every
-    iteration's ranks are checkpointed to the shared checkpoint folder so the
-    lineage never grows and a lost executor only repeats one step.
+    spread uniformly.  Stops at the first iteration whose L1 change is below
+    n * tol.
+
+    ``block`` iterations are planned into one job.  Each step refers to the
+    previous one once (the plan grows linearly): ranks flow over the edge
+    table, dangling rank flows to a virtual sink, and a zero-weight self edge
+    carries each node's rank history through the same aggregate.  After a
+    block the state is checkpointed to the shared folder (short lineage; a
+    lost executor repeats at most one block) and one small aggregate reads the
+    L1 change of every step of the block.  The edge table has at most
+    2 * TOP_NEIGHBOURS + 2 rows per topic, so it is broadcast.
     """
-    spark = nodes.sparkSession
-    node_ids = nodes.select("topic").distinct()
+    node_ids = nodes.select("topic").distinct().checkpoint()
     n = node_ids.count()
     if n == 0:
         return nodes.select("topic", F.lit(0.0).alias("pagerank"))
+    if n > MAX_TOPICS:
+        raise ValueError(f"more than {MAX_TOPICS} topics")
     directed = (edges.select(F.col("source_topic").alias("src"), F.col("target_topic").alias("dst"), "weight")
                 .unionByName(edges.select(F.col("target_topic").alias("src"),
                                           F.col("source_topic").alias("dst"), "weight")))
     out_w = directed.groupBy("src").agg(F.sum("weight").alias("_out"))
+    dangling = (node_ids.join(out_w.withColumnRenamed("src", "topic"), "topic", "left_anti")
+                .select(F.col("topic").alias("src"), F.lit(_SINK).alias("dst"), F.lit(1.0).alias("p"),
+                        F.lit(False).alias("self")))
+    selfs = node_ids.select(F.col("topic").alias("src"), F.col("topic").alias("dst"),
+                            F.lit(0.0).alias("p"), F.lit(True).alias("self"))
     trans = (directed.join(out_w, "src")
-             .select("src", "dst", (F.col("weight") / F.col("_out")).alias("p"))).checkpoint()
-    dangling_nodes = node_ids.join(out_w.withColumnRenamed("src", "topic"), "topic", "left_anti")
-    dangling_nodes = dangling_nodes.withColumn("_dangling", F.lit(True)).checkpoint()
-    ranks = node_ids.select("topic", F.lit(1.0 / n).alias("rank")).checkpoint()
-    for _ in range(max_iter):
-        dmass = (ranks.join(dangling_nodes, "topic").agg(F.coalesce(F.sum("rank"), F.lit(0.0))
-                                                          .alias("_dm")))
-        contrib = (ranks.join(trans, ranks.topic == trans.src)
-                   .groupBy(F.col("dst").alias("topic"))
-                   .agg(F.sum(F.col("rank") * F.col("p")).alias("_c")))
-        new = (node_ids.join(contrib, "topic", "left").crossJoin(one_row(dmass))
-               .select("topic", (damping * F.coalesce(F.col("_c"), F.lit(0.0))
-                                 + (damping * F.col("_dm") + (1.0 - damping)) / n).alias("rank")))
-        new = new.join(ranks.withColumnRenamed("rank", "_old"), "topic") \
-                 .select("topic", "rank", F.abs(F.col("rank") - F.col("_old")).alias("_d")).checkpoint()
-        err = new.agg(F.sum("_d")).first()[0]
-        ranks = new.select("topic", "rank")
-        if err < n * tol:
-            break
-    return ranks.select("topic", F.col("rank").alias("pagerank"))
+             .select("src", "dst", (F.col("weight") / F.col("_out")).alias("p"), F.lit(False).alias("self"))
+             .unionByName(dangling).unionByName(selfs)).checkpoint()
+    trans = F.broadcast(trans)
+    everything = Window.partitionBy()   # over the node table only (<= MAX_TOPICS + 1 rows)
+
+    def step(r: DataFrame) -> DataFrame:
+        agg = (r.join(trans, r.topic == trans.src)
+               .groupBy(F.col("dst").alias("topic"))
+               .agg(F.sum(F.col("rank") * F.col("p")).alias("_c"),
+                    F.max(F.when(F.col("self"), F.col("hist"))).alias("hist")))
+        dm = F.max(F.when(F.col("topic") == _SINK, F.col("_c"))).over(everything)
+        new_rank = (damping * F.col("_c") + (damping * F.coalesce(F.col("_dm"), F.lit(0.0))
+                                             + (1.0 - damping)) / n)
+        return (agg.withColumn("_dm", dm).where(F.col("topic") != _SINK)
+                .withColumn("rank", new_rank)
+                .select("topic", "rank", F.concat("hist", F.array("rank")).alias("hist")))
+
+    state = node_ids.select("topic", F.lit(1.0 / n).alias("rank"),
+                            F.array(F.lit(1.0 / n)).alias("hist")).checkpoint()
+    done = 0
+    while done < max_iter:
+        k = min(block, max_iter - done)
+        cur = state
+        for _ in range(k):
+            cur = step(cur)
+        cur = cur.checkpoint()
+        errs = cur.agg(*[F.sum(F.abs(F.element_at("hist", i + 2) - F.element_at("hist", i + 1)))
+                         .alias(f"e{i}") for i in range(k)]).first()
+        hit = next((i for i in range(k) if errs[f"e{i}"] < n * tol), None)
+        if hit is not None:
+            return cur.select("topic", F.element_at("hist", hit + 2).alias("pagerank"))
+        state = cur.select("topic", "rank", F.array("rank").alias("hist"))
+        done += k
+    return state.select("topic", F.col("rank").alias("pagerank"))
 
 
 # --- X7: betweenness (Brandes), sources distributed over tasks ------------------

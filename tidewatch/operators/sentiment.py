@@ -4,68 +4,70 @@ The polarity model is a parameter table ``(word, polarity)``.  A record's
 sentiment is the mean polarity of its lexicon hits; a hit directly preceded by
 a negator counts with factor -0.5; no hits -> 0.0; result clipped to [-1, 1].
 
-The lexicon is size-checked and shipped inside the expression as a map literal,
-so scoring is a per-row projection: no explode, no shuffle, no join back to the
-(large) record table.
+Scoring is a per-record projection with no shuffle and no join back to the
+(large) record table: an Arrow-batched scalar function looks every token up in
+a hash table.  The lexicon is size-checked before it is shipped to the tasks.
 """
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-
-from tidewatch.functions.text import tokens
+from pyspark.sql import types as T
 
 DEFAULT_NEGATORS = ("not", "no", "never")
 NEGATION_FACTOR = -0.5
-MAX_LEXICON_ENTRIES = 100_000
+MAX_LEXICON_ENTRIES = 200_000
 
 
-def _lexicon_pairs(lexicon) -> list[tuple[str, float]]:
+def _lexicon_pairs(lexicon) -> dict[str, float]:
     if isinstance(lexicon, dict):
         pairs = list(lexicon.items())
     elif isinstance(lexicon, DataFrame):
         rows = lexicon.select("word", "polarity").limit(MAX_LEXICON_ENTRIES + 1).collect()
-        if len(rows) > MAX_LEXICON_ENTRIES:
-            raise ValueError("lexicon exceeds the size that may be shipped with each task")
         pairs = [(r["word"], r["polarity"]) for r in rows]
     else:
         pairs = list(lexicon)
-    # last entry for a word wins, words are matched lower-case
+    if len(pairs) > MAX_LEXICON_ENTRIES:
+        raise ValueError("lexicon exceeds the size that may be shipped with each task")
     merged: dict[str, float] = {}
-    for w, p in pairs:
+    for w, p in pairs:   # last entry for a word wins; words matched lower-case
         if w is not None and p is not None:
             merged[str(w).lower()] = float(p)
-    return sorted(merged.items())
+    return merged
+
+
+def score_text(text: str, lex: dict[str, float], negs: frozenset) -> float:
+    """Mean signed polarity of one cleaned text (helper for the batch function)."""
+    if not text:
+        return 0.0
+    total = 0.0
+    hits = 0
+    prev = None
+    for tok in text.split(" "):
+        p = lex.get(tok)
+        if p is not None:
+            total += p * (NEGATION_FACTOR if prev in negs else 1.0)
+            hits += 1
+        prev = tok
+    if not hits:
+        return 0.0
+    return min(1.0, max(-1.0, total / hits))
 
 
 def lexicon_sentiment(clean: Column, lexicon, negators=None) -> Column:
-    pairs = _lexicon_pairs(lexicon)
-    negs = list(negators if negators is not None else DEFAULT_NEGATORS)
-    if not pairs:
+    lex = _lexicon_pairs(lexicon)
+    negs = frozenset(negators if negators is not None else DEFAULT_NEGATORS)
+    if not lex:
         return F.lit(0.0)
-    lex = F.map_from_arrays(F.array(*[F.lit(w) for w, _ in pairs]),
-                            F.array(*[F.lit(p) for _, p in pairs]))
-    neg_arr = F.array(*[F.lit(n) for n in negs]) if negs else F.array().cast("array<string>")
-    toks = tokens(clean)
-    # previous token aligned with each token (null before the first one)
-    prev = F.concat(F.array(F.lit(None).cast("string")),
-                    F.slice(toks, 1, F.greatest(F.size(toks) - 1, F.lit(0))))
-    factor = F.zip_with(
-        toks, prev,
-        lambda t, p: F.struct(
-            F.try_element_at(lex, t).alias("pol"),
-            F.when(F.coalesce(F.array_contains(neg_arr, p), F.lit(False)),
-                   F.lit(NEGATION_FACTOR)).otherwise(F.lit(1.0)).alias("f")))
-    # one pass: (sum of signed polarities, number of hits)
-    acc0 = F.struct(F.lit(0.0).alias("s"), F.lit(0).alias("n"))
-    mean = F.aggregate(
-        factor, acc0,
-        lambda acc, x: F.struct(
-            (acc["s"] + F.coalesce(x["pol"] * x["f"], F.lit(0.0))).alias("s"),
-            (acc["n"] + F.when(x["pol"].isNull(), 0).otherwise(1)).alias("n")),
-        lambda acc: F.when(acc["n"] == 0, F.lit(0.0)).otherwise(acc["s"] / acc["n"]))
-    return F.least(F.greatest(mean, F.lit(-1.0)), F.lit(1.0))
+
+    @F.pandas_udf(T.DoubleType())
+    def _sentiment(texts: pd.Series) -> pd.Series:
+        return pd.Series([score_text(t, lex, negs) if isinstance(t, str) else 0.0 for t in texts],
+                         dtype="float64")
+
+    return _sentiment(clean)
 
 
 def lexicon_frame(spark, pairs) -> DataFrame:
