@@ -12,8 +12,8 @@ from pyspark.ml.regression import LinearRegression
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidewatch.operators.joins import checked_broadcast
-from tidewatch.operators.scoring import with_minmax
+from tidewatch.operators.joins import checked_broadcast, one_row
+from tidewatch.operators.scoring import minmax
 
 NUMERIC_FEATURES = ("sentiment", "engagement_norm", "visual_brightness", "visual_colorfulness",
                     "visual_edge_density", "visual_energy", "visual_innovation",
@@ -117,13 +117,21 @@ def multimodal_summary(final: DataFrame, modal: DataFrame, nodes: DataFrame, for
                                                 if "audio_genre_label" in modal.columns
                                                 and "audio_genre_label" in deep_topics.columns
                                                 else deep_topics, "topic", "left"))
-    m = with_minmax(m, "visual_energy", "visual_energy_norm")
-    m = with_minmax(m, "visual_innovation", "visual_innovation_norm")
-    m = with_minmax(m, "audio_energy_score", "audio_energy_norm")
-    m = with_minmax(m, "audio_novelty_signal", "audio_novelty_norm")
     m = m.withColumn("_centrality", F.coalesce("weighted_degree", F.lit(0.0))
                      + F.coalesce("pagerank", F.lit(0.0)) + F.coalesce("betweenness", F.lit(0.0)))
-    m = with_minmax(m, "_centrality", "network_centrality_norm").drop("_centrality")
+    m = m.checkpoint()
+    # All five min-max normalisers from one aggregate
+    norms = (("visual_energy", "visual_energy_norm"), ("visual_innovation", "visual_innovation_norm"),
+             ("audio_energy_score", "audio_energy_norm"), ("audio_novelty_signal", "audio_novelty_norm"),
+             ("_centrality", "network_centrality_norm"))
+    filled = {src: F.coalesce(F.col(src).cast("double"), F.lit(0.0)) for src, _ in norms}
+    rng = m.agg(*[F.min(filled[src]).alias(f"_lo{i}") for i, (src, _) in enumerate(norms)],
+                *[F.max(filled[src]).alias(f"_hi{i}") for i, (src, _) in enumerate(norms)])
+    m = m.crossJoin(one_row(rng))
+    for i, (src, out) in enumerate(norms):
+        m = m.withColumn(out, minmax(filled[src], f"_lo{i}", f"_hi{i}"))
+    m = m.drop("_centrality", *[f"_lo{i}" for i in range(len(norms))],
+               *[f"_hi{i}" for i in range(len(norms))])
     for c in ("forecast_growth_score", "forecast_confidence", "deep_fusion_score"):
         m = m.withColumn(c, F.coalesce(F.col(c).cast("double"), F.lit(0.5)))
     align = F.least(F.greatest(1.0 - sample_std3(F.col("trend_score"), F.col("visual_energy_norm"),

@@ -229,33 +229,44 @@ MODAL_MEANS = ("visual_brightness", "visual_colorfulness", "visual_edge_density"
                "audio_tempo_norm", "audio_genre_confidence")
 
 
-def genre_counts(enriched: DataFrame) -> DataFrame:
-    return (enriched.where(F.col("topic").isNotNull() & F.col("audio_genre_label").isNotNull())
-            .groupBy("topic", "audio_genre_label").agg(F.count(F.lit(1)).alias("record_count")))
+def _modal_partials(enriched: DataFrame) -> DataFrame:
+    """One pass over the records: counts and feature sums per (topic, genre,
+    source).  Every topic-level summary is derived from this small table."""
+    return (enriched.where(F.col("topic").isNotNull())
+            .groupBy("topic", "audio_genre_label", "source")
+            .agg(F.count(F.lit(1)).alias("_n"),
+                 *[F.sum(c).alias(f"_s_{c}") for c in MODAL_MEANS],
+                 *[F.count(c).alias(f"_c_{c}") for c in MODAL_MEANS])).checkpoint()
 
 
-def audio_genre_summary(enriched: DataFrame) -> DataFrame:
+def genre_counts(enriched: DataFrame, partials: DataFrame | None = None) -> DataFrame:
+    p = partials if partials is not None else _modal_partials(enriched)
+    return (p.where(F.col("audio_genre_label").isNotNull())
+            .groupBy("topic", "audio_genre_label").agg(F.sum("_n").alias("record_count")))
+
+
+def audio_genre_summary(enriched: DataFrame, partials: DataFrame | None = None) -> DataFrame:
     """A4 + N7: counts per (topic, genre) and share within topic."""
-    counts = genre_counts(enriched)
-    tot = counts.groupBy("topic").agg(F.sum("record_count").alias("_tot"))
-    return (counts.join(tot, "topic")
-            .withColumn("share_within_topic", F.col("record_count")
-                        / F.when(F.col("_tot") == 0, F.lit(1)).otherwise(F.col("_tot")))
-            .drop("_tot")
+    counts = genre_counts(enriched, partials)
+    w = Window.partitionBy("topic")  # topic x genre table: a handful of rows per topic
+    tot = F.sum("record_count").over(w)
+    return (counts.withColumn("share_within_topic", F.col("record_count")
+                              / F.when(tot == 0, F.lit(1)).otherwise(tot))
             .orderBy(F.asc("topic"), F.desc("share_within_topic"), F.asc("audio_genre_label")))
 
 
-def dominant_genre(enriched: DataFrame) -> DataFrame:
+def dominant_genre(enriched: DataFrame, partials: DataFrame | None = None) -> DataFrame:
     """Most frequent genre per topic, ties -> smallest label."""
     w = Window.partitionBy("topic").orderBy(F.desc("record_count"), F.asc("audio_genre_label"))
-    return (genre_counts(enriched).withColumn("_rn", F.row_number().over(w))
+    return (genre_counts(enriched, partials).withColumn("_rn", F.row_number().over(w))
             .where(F.col("_rn") == 1)
             .select("topic", F.col("audio_genre_label").alias("dominant_audio_genre")))
 
 
 def modal_topic_summary(enriched: DataFrame) -> DataFrame:
-    """A3 + J2."""
-    summary = (enriched.where(F.col("topic").isNotNull()).groupBy("topic")
-               .agg(*[F.avg(c).alias(c) for c in MODAL_MEANS],
+    """A3 + J2 from one aggregation pass over the records."""
+    p = _modal_partials(enriched)
+    summary = (p.groupBy("topic")
+               .agg(*[(F.sum(f"_s_{c}") / F.sum(f"_c_{c}")).alias(c) for c in MODAL_MEANS],
                     F.count_distinct("source").alias("modality_coverage")))
-    return summary.join(dominant_genre(enriched), "topic", "left")
+    return summary.join(dominant_genre(enriched, p), "topic", "left")

@@ -94,7 +94,9 @@ def source_summary(prepared: DataFrame) -> DataFrame:
          .agg(F.count(F.lit(1)).alias("mention_count"),
               F.avg("engagement_norm").alias("avg_engagement"),
               F.sum("engagement").alias("total_engagement_raw"),
-              F.avg("sentiment").alias("avg_sentiment")))
+              F.avg("sentiment").alias("avg_sentiment"))).checkpoint()
+    # the (topic, source) table is small: checkpointed once so the global
+    # normalisers below never re-run the record scan
     m = g.agg(F.max("mention_count").alias("_max_count"),
               F.max("avg_engagement").alias("_max_eng"))
     wm, we, ws = TREND_WEIGHTS
@@ -152,7 +154,7 @@ def topic_scores(summary: DataFrame, novelty_basis: str = "total_engagement") ->
               F.avg("avg_engagement").alias("avg_engagement"),
               F.sum("total_engagement_raw").alias("total_engagement"),
               F.avg("avg_sentiment").alias("avg_sentiment"),
-              F.count_distinct("source").alias("source_count")))
+              F.count_distinct("source").alias("source_count"))).checkpoint()
     m = g.agg(F.max("mention_count").alias("_max_count"),
               F.max("avg_engagement").alias("_max_eng"))
     wm, we, ws = TREND_WEIGHTS

@@ -27,7 +27,12 @@ def daily_series(records: DataFrame, day_col: str = "date", value_col: str = "en
 
 
 def fill_daily(daily: DataFrame) -> DataFrame:
-    """Per-topic calendar from first to last day, missing days -> 0 mentions."""
+    """Per-topic calendar from first to last day, missing days -> 0 mentions.
+
+    The (topic, day) table is checkpointed: it feeds both the bounds and the
+    join, and must not re-run the record aggregation twice.
+    """
+    daily = daily.checkpoint()
     bounds = daily.groupBy("topic").agg(F.min("day").alias("_d0"), F.max("day").alias("_d1"))
     spine = bounds.select("topic", F.explode(
         F.sequence(F.col("_d0"), F.col("_d1"), F.expr("INTERVAL 1 DAY"))).alias("day"))
