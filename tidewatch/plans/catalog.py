@@ -12,6 +12,7 @@ _MODULES = (
     "tidewatch.plans.q_modal",
     "tidewatch.plans.q_network",
     "tidewatch.plans.q_fusion",
+    "tidewatch.plans.q_ingest",
 )
 
 
