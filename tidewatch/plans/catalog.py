@@ -15,6 +15,7 @@ _MODULES = (
     "tidewatch.plans.q_ingest",
     "tidewatch.plans.q_adhoc",
     "tidewatch.plans.q_streaming",
+    "tidewatch.plans.q_topics",
 )
 
 
