@@ -68,7 +68,12 @@ def s2_news_ingest(spark, sf_dir):
     return I.news_signals(spark, _landed_news(spark, sf_dir))
 
 
-@register("s11_s12_source_status")
+@register("s11_s12_source_status", with_ctes(SIGNALS) + """
+SELECT 'NewsAPI' AS source, 'loaded' AS status, CAST(count(*) AS BIGINT) AS record_count,
+       'articles landed' AS note FROM signals
+UNION ALL SELECT 'Spotify', 'skipped', CAST(0 AS BIGINT), 'no track payloads configured'
+UNION ALL SELECT 'Reddit', 'skipped', CAST(0 AS BIGINT), 'no post payloads configured'
+UNION ALL SELECT 'X', 'skipped', CAST(0 AS BIGINT), 'no post export configured'""")
 def s11_s12_source_status(spark, sf_dir):
     news = I.news_signals(spark, _landed_news(spark, sf_dir))
     sig = I.union_signals([news])
