@@ -155,17 +155,21 @@ def audio_features(records: DataFrame, genre_keywords=None) -> DataFrame:
     a0, i0, sp0 = (F.coalesce(x, F.lit(0.0)) for x in (a, i, sp))
     energy = _clip01(0.35 * e + 0.25 * d + 0.20 * v + 0.20 * tempo_norm)
     novelty = _clip01(0.35 * (1 - a0) + 0.30 * i0 + 0.20 * sp0 + 0.15 * tempo_norm)
-    label, conf = genre_columns(records, genre_keywords)
+    # the keyword scan is materialised once; the rule chain refers to it often
+    records = records.withColumn("_kw", keyword_struct(
+        F.col("text") if "text" in cols else F.lit(""), genre_keywords))
+    label, conf = genre_columns(records, genre_keywords, kw_col="_kw")
     return records.select(
         "*",
         F.when(missing, defaults["audio_energy_score"]).otherwise(energy).alias("audio_energy_score"),
         F.when(missing, defaults["audio_novelty_signal"]).otherwise(novelty).alias("audio_novelty_signal"),
         F.when(missing, defaults["audio_energy_score"]).otherwise(tempo_norm).alias("audio_tempo_norm"),
-        label.alias("audio_genre_label"), conf.alias("audio_genre_confidence"))
+        label.alias("audio_genre_label"), conf.alias("audio_genre_confidence")).drop("_kw")
 
 
-def keyword_genre(text: Column, genre_keywords=None) -> tuple[Column, Column]:
-    """Genre with most distinct keyword hits (ties -> table order) and its hit count."""
+def keyword_struct(text: Column, genre_keywords=None) -> Column:
+    """struct(hits, neg_ord, genre) of the genre with most distinct keyword
+    hits (ties -> table order)."""
     table = genre_keywords or params.GENRE_KEYWORDS
     low = F.lower(F.coalesce(text, F.lit("")))
     entries = []
@@ -176,15 +180,24 @@ def keyword_genre(text: Column, genre_keywords=None) -> tuple[Column, Column]:
             hits = h if hits is None else hits + h
         entries.append(F.struct(hits.alias("hits"), F.lit(-ordinal).alias("neg_ord"),
                                 F.lit(genre).alias("genre")))
-    best = F.array_max(F.array(*entries))
+    return F.array_max(F.array(*entries))
+
+
+def keyword_genre(text: Column, genre_keywords=None) -> tuple[Column, Column]:
+    """Genre with most distinct keyword hits (ties -> table order) and its hit count."""
+    best = keyword_struct(text, genre_keywords)
     return best["genre"], best["hits"]
 
 
-def genre_columns(records: DataFrame, genre_keywords=None) -> tuple[Column, Column]:
-    """(label, confidence) from audio features with keyword fallbacks."""
+def genre_columns(records: DataFrame, genre_keywords=None, kw_col: str | None = None) -> tuple[Column, Column]:
+    """(label, confidence) from audio features with keyword fallbacks.
+    ``kw_col`` names an already computed ``keyword_struct`` column."""
     cols = set(records.columns)
     d, e, v, _, a, i, sp = (_num(c, cols) for c in AUDIO_FEATURES)
-    kg, hits = keyword_genre(F.col("text") if "text" in cols else F.lit(""), genre_keywords)
+    if kw_col:
+        kg, hits = F.col(kw_col)["genre"], F.col(kw_col)["hits"]
+    else:
+        kg, hits = keyword_genre(F.col("text") if "text" in cols else F.lit(""), genre_keywords)
     v0 = F.coalesce(v, F.lit(0.5))
     a0, i0, sp0 = (F.coalesce(x, F.lit(0.0)) for x in (a, i, sp))
     topic_default = _known_str(F.col("topic"), params.TOPIC_DEFAULT_GENRE, params.FALLBACK_GENRE)
