@@ -38,9 +38,12 @@ def s8_topic_match(spark, sf_dir):
                     I.match_topic(F.col("text"), fixture_topics(spark)).alias("matched_topic"))
 
 
+PAGE_SIZE = 20   # articles per landed request
+
+
 def _landed_news(spark, sf_dir) -> str:
-    """Documents + events landed as article payloads (one JSON document per
-    (topic, day) request), written by Spark to the shared folder."""
+    """Documents + events landed as article payloads (JSON Lines, one document
+    per request), written by Spark to the shared folder."""
     s = tables.signals(spark, sf_dir)
     title = F.substring_index("text", "\n", 1)
     art = F.struct(title.alias("title"),
@@ -48,7 +51,10 @@ def _landed_news(spark, sf_dir) -> str:
                    F.date_format("date", "yyyy-MM-dd'T'00:00:00'Z'").alias("publishedAt"),
                    F.concat(F.lit("doc://"), F.col("source_item_id").cast("string")).alias("url"),
                    F.lit(None).cast("string").alias("urlToImage"))
-    payload = (s.groupBy("topic", "date").agg(F.collect_list(art).alias("articles"))
+    # one request per (topic, day, block of PAGE_SIZE consecutive ids): every
+    # payload holds at most PAGE_SIZE articles, however hot a topic-day is
+    page = F.floor(F.col("source_item_id") / PAGE_SIZE)
+    payload = (s.groupBy("topic", "date", page.alias("_page")).agg(F.collect_list(art).alias("articles"))
                .select("topic", F.lit(0).cast("bigint").alias("request_ordinal"), "articles"))
     path = scratch_path(spark, "landed-news")
     payload.write.mode("overwrite").json(path)
