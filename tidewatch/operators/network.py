@@ -56,8 +56,12 @@ def topic_tfidf(counts: DataFrame) -> DataFrame:
     """
     counts = counts.checkpoint()
     n = counts.agg(F.count_distinct("topic").alias("_n"))
-    df = counts.groupBy("term").agg(F.count(F.lit(1)).alias("_df"))
-    w = (counts.join(df, "term").crossJoin(one_row(n))
+    # document frequency as a window keyed by term: a term's group holds at
+    # most one row per topic, and the result stays hash-partitioned by term,
+    # which the cosine self-join on term then reuses without a new shuffle
+    by_term = Window.partitionBy("term")
+    w = (counts.crossJoin(one_row(n))
+         .withColumn("_df", F.count(F.lit(1)).over(by_term))
          .withColumn("w", F.col("tf") * (F.log((1.0 + F.col("_n")) / (1.0 + F.col("_df"))) + 1.0)))
     norm = w.groupBy("topic").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("_norm"))
     return (w.join(checked_broadcast(norm), "topic")
