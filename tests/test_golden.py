@@ -196,3 +196,34 @@ def test_g7_genre_share(spark):
 
 def test_signature_and_drivers_math():
     assert math.isclose(0.35 * 0.58 + 0.35 * 0.62 + 0.30 * 0.60, 0.6)
+
+
+# Second published case: 7 topics, 9 edges (includes paths with equal-length ties).
+G2B_EDGES = [("AI music", "Digital art", 0.13796958492339942), ("AI music", "Mindfulness", 0.10232437991029629),
+             ("Digital art", "Sustainable fashion", 0.1188545952662132), ("Mindfulness", "cycling", 0.14188777420317814),
+             ("Mindfulness", "running", 0.12026861998299083),
+             ("Mindfulness", "Sustainable fashion", 0.08989066552872636),
+             ("cycling", "running", 0.07724184349774336), ("Mindfulness", "swimming", 0.0751970288283245),
+             ("cycling", "swimming", 0.06432147058560907)]
+G2B_NODES = {
+    "AI music": (0.13009947570619027, 0.0, 2, 0.2402939648336957),
+    "Digital art": (0.14096470752201393, 0.0, 2, 0.2568241801896126),
+    "Mindfulness": (0.26973539824578796, 0.6666666666666666, 5, 0.5295684684535161),
+    "Sustainable fashion": (0.11579821975361375, 0.26666666666666666, 2, 0.20874526079493955),
+    "cycling": (0.15157344200306302, 0.06666666666666667, 3, 0.28345108828653054),
+    "running": (0.10860759054507428, 0.0, 2, 0.1975104634807342),
+    "swimming": (0.08322116622425665, 0.26666666666666666, 2, 0.13951849941393357),
+}
+
+
+def test_g2_second_network(spark):
+    edges = spark.createDataFrame(G2B_EDGES, "source_topic string, target_topic string, weight double")
+    nodes = spark.createDataFrame([(t,) for t in G2B_NODES], "topic string")
+    pr = {r["topic"]: r["pagerank"] for r in N.pagerank(nodes, edges).collect()}
+    bt = {r["topic"]: r["betweenness"] for r in N.betweenness(nodes, edges).collect()}
+    dg = {r["topic"]: r for r in N.degrees(nodes, edges).collect()}
+    for t, (p, b, d, wd) in G2B_NODES.items():
+        assert pr[t] == pytest.approx(p, abs=1e-9)
+        assert bt[t] == pytest.approx(b, abs=1e-12)
+        assert dg[t]["degree"] == d
+        assert dg[t]["weighted_degree"] == pytest.approx(wd, abs=1e-12)
