@@ -110,6 +110,50 @@ def source_summary(prepared: DataFrame) -> DataFrame:
             .drop("_max_count", "_max_eng"))
 
 
+def summary_partials(records: DataFrame) -> DataFrame:
+    """Mergeable (topic, source) partials: count, engagement sum and max,
+    sentiment sum.  Partials of disjoint record sets combine with
+    ``merge_partials``; ``source_summary_from_partials`` then equals
+    ``source_summary(prepare_records(all records))``."""
+    sent = F.col("sentiment") if "sentiment" in records.columns else F.lit(0.0)
+    eng = F.coalesce(F.expr("try_cast(engagement AS double)"), F.lit(0.0))
+    return (records.where(F.col("topic").isNotNull() & F.col("source").isNotNull())
+            .groupBy("topic", "source")
+            .agg(F.count(F.lit(1)).alias("n"), F.sum(eng).alias("sum_engagement"),
+                 F.max(eng).alias("max_engagement"), F.sum(sent).alias("sum_sentiment")))
+
+
+def merge_partials(*parts: DataFrame) -> DataFrame:
+    u = parts[0]
+    for p in parts[1:]:
+        u = u.unionByName(p)
+    return u.groupBy("topic", "source").agg(
+        F.sum("n").alias("n"), F.sum("sum_engagement").alias("sum_engagement"),
+        F.max("max_engagement").alias("max_engagement"), F.sum("sum_sentiment").alias("sum_sentiment"))
+
+
+def source_summary_from_partials(parts: DataFrame) -> DataFrame:
+    """A1 from partials: scaling by the source max is linear, so the mean of
+    scaled engagement is the mean engagement over the source max."""
+    smax = parts.groupBy("source").agg(F.max("max_engagement").alias("_smax"))
+    denom = F.when(F.col("_smax") == 0, F.lit(1.0)).otherwise(F.col("_smax"))
+    g = (parts.join(F.broadcast(smax), "source")
+         .select("topic", "source", F.col("n").alias("mention_count"),
+                 (F.col("sum_engagement") / F.col("n") / denom).alias("avg_engagement"),
+                 F.col("sum_engagement").alias("total_engagement_raw"),
+                 (F.col("sum_sentiment") / F.col("n")).alias("avg_sentiment"))).checkpoint()
+    m = g.agg(F.max("mention_count").alias("_max_count"), F.max("avg_engagement").alias("_max_eng"))
+    wm, we, ws = TREND_WEIGHTS
+    return (g.crossJoin(one_row(m))
+            .withColumn("mention_score", _ratio_to_max("mention_count", "_max_count", 1.0))
+            .withColumn("engagement_score", _ratio_to_max("avg_engagement", "_max_eng", 1e-9))
+            .withColumn("sentiment_score", (F.col("avg_sentiment") + 1.0) / 2.0)
+            .withColumn("trend_score", _blend((wm, F.col("mention_score")),
+                                              (we, F.col("engagement_score")),
+                                              (ws, F.col("sentiment_score"))))
+            .drop("_max_count", "_max_eng"))
+
+
 def minmax(col: str | Column, lo: str, hi: str) -> Column:
     """N3/N4 body: (x - min) / (max - min); a zero range gives 0.5."""
     c = F.col(col) if isinstance(col, str) else col
