@@ -79,7 +79,36 @@ def t1_t2_continuous_rescoring(spark, sf_dir):
         "iteration", "mode", "top_topic", "mentions_seen")
 
 
-@register("t8_run_over_run")
+def _t8_sql() -> str:
+    import re
+
+    from tidewatch.plans.fixture_sql import MENTIONS as M_CTE
+    from tidewatch.plans.q_scoring import _MENTIONS_PREPARED, _a1_sql, _a2_sql
+
+    full = _a1_sql(_MENTIONS_PREPARED) + _a2_sql()
+    head = "WITH " + M_CTE + "\n"
+    assert full.startswith(head)
+    rest = full[len(head):]
+    names = ("mentions", "smax", "prepared", "a1", "a1s", "source_summary", "g", "gs", "gt", "gn",
+             "gr", "final_scores", "final")
+    prev = re.sub(r"\b(" + "|".join(names) + r")\b", lambda m: m.group(1) + "_p", rest)
+    cut = """,
+mentions_p AS (SELECT * FROM mentions
+               WHERE CAST(date AS DATE) < (SELECT max(CAST(date AS DATE)) FROM mentions))"""
+    return head + rest + cut + prev + """,
+cr AS (SELECT topic, final_score_with_novelty AS s,
+              row_number() OVER (ORDER BY final_score_with_novelty DESC, topic) AS r FROM final),
+pr AS (SELECT topic, final_score_with_novelty AS s,
+              row_number() OVER (ORDER BY final_score_with_novelty DESC, topic) AS r FROM final_p)
+SELECT coalesce(pr.topic, cr.topic) AS topic, CAST(pr.r AS BIGINT) AS previous_rank,
+       CAST(cr.r AS BIGINT) AS current_rank, CAST(pr.r - cr.r AS BIGINT) AS rank_gain,
+       round(cr.s - pr.s, 6) AS score_change,
+       CASE WHEN pr.r IS NULL THEN 'new' WHEN cr.r IS NULL THEN 'dropped'
+            WHEN pr.r > cr.r THEN 'up' WHEN pr.r < cr.r THEN 'down' ELSE 'same' END AS movement
+FROM pr FULL OUTER JOIN cr ON cr.topic = pr.topic"""
+
+
+@register("t8_run_over_run", _t8_sql())
 def t8_run_over_run(spark, sf_dir):
     """Ranking over all events vs. the ranking without the last day."""
     m = prepared_mentions(spark, sf_dir)
