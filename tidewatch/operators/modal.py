@@ -242,14 +242,17 @@ MODAL_MEANS = ("visual_brightness", "visual_colorfulness", "visual_edge_density"
                "audio_tempo_norm", "audio_genre_confidence")
 
 
-def _modal_partials(enriched: DataFrame) -> DataFrame:
+def _modal_partials(enriched: DataFrame, extra_sums: dict | None = None) -> DataFrame:
     """One pass over the records: counts and feature sums per (topic, genre,
-    source).  Every topic-level summary is derived from this small table."""
+    source).  Every topic-level summary is derived from this small table.
+    ``extra_sums`` (name -> per-record column) adds further additive sums."""
+    extra = extra_sums or {}
     return (enriched.where(F.col("topic").isNotNull())
             .groupBy("topic", "audio_genre_label", "source")
             .agg(F.count(F.lit(1)).alias("_n"),
                  *[F.sum(c).alias(f"_s_{c}") for c in MODAL_MEANS],
-                 *[F.count(c).alias(f"_c_{c}") for c in MODAL_MEANS])).checkpoint()
+                 *[F.count(c).alias(f"_c_{c}") for c in MODAL_MEANS],
+                 *[F.sum(col).alias(name) for name, col in extra.items()])).checkpoint()
 
 
 def genre_counts(enriched: DataFrame, partials: DataFrame | None = None) -> DataFrame:
@@ -276,9 +279,9 @@ def dominant_genre(enriched: DataFrame, partials: DataFrame | None = None) -> Da
             .select("topic", F.col("audio_genre_label").alias("dominant_audio_genre")))
 
 
-def modal_topic_summary(enriched: DataFrame) -> DataFrame:
+def modal_topic_summary(enriched: DataFrame, partials: DataFrame | None = None) -> DataFrame:
     """A3 + J2 from one aggregation pass over the records."""
-    p = _modal_partials(enriched)
+    p = partials if partials is not None else _modal_partials(enriched)
     summary = (p.groupBy("topic")
                .agg(*[(F.sum(f"_s_{c}") / F.sum(f"_c_{c}")).alias(c) for c in MODAL_MEANS],
                     F.count_distinct("source").alias("modality_coverage")))

@@ -16,24 +16,34 @@ def _axes(axes):
     return axes or params.GENOME_AXES
 
 
+def axis_hit_columns(clean_col: str = "clean_text", axes=None) -> dict:
+    """Per-record additive columns: token count and keyword occurrences per axis."""
+    ax = _axes(axes)
+    c = F.coalesce(F.col(clean_col), F.lit(""))
+    cols = {"_tokens": F.when(F.trim(c) == "", 0).otherwise(F.size(F.split(F.trim(c), " +")))}
+    for name, kws in ax:
+        cols[f"_h_{name}"] = sum((count_occurrences(c, k) for k in kws), F.lit(0).cast("bigint"))
+    return cols
+
+
+def axis_scores_from_sums(sums: DataFrame, axes=None) -> DataFrame:
+    """Scores from per-topic sums of ``axis_hit_columns``."""
+    ax = _axes(axes)
+    denom = F.greatest(F.col("_tokens") * AXIS_TOKEN_RATE, F.lit(1.0))
+    return sums.select("topic", *[F.least(F.lit(1.0), F.col(f"_h_{name}") / denom).alias(f"{name}_axis")
+                                  for name, _ in ax])
+
+
 def axis_scores(records: DataFrame, clean_col: str = "clean_text", axes=None) -> DataFrame:
     """Per topic, keyword occurrences per axis over the token count.
 
     Keywords contain no spaces, so occurrences are additive over records:
     counts are summed per topic and the topic text is never concatenated.
     """
-    ax = _axes(axes)
-    c = F.coalesce(F.col(clean_col), F.lit(""))
-    per_rec = records.where(F.col("topic").isNotNull()).select(
-        "topic",
-        F.when(F.trim(c) == "", 0).otherwise(F.size(F.split(F.trim(c), " +"))).alias("_tokens"),
-        *[sum((count_occurrences(c, k) for k in kws), F.lit(0).cast("bigint")).alias(f"_h_{name}")
-          for name, kws in ax])
-    agg = per_rec.groupBy("topic").agg(F.sum("_tokens").alias("_tokens"),
-                                      *[F.sum(f"_h_{name}").alias(f"_h_{name}") for name, _ in ax])
-    denom = F.greatest(F.col("_tokens") * AXIS_TOKEN_RATE, F.lit(1.0))
-    return agg.select("topic", *[F.least(F.lit(1.0), F.col(f"_h_{name}") / denom).alias(f"{name}_axis")
-                                 for name, _ in ax])
+    cols = axis_hit_columns(clean_col, axes)
+    agg = (records.where(F.col("topic").isNotNull()).groupBy("topic")
+           .agg(*[F.sum(col).alias(name) for name, col in cols.items()]))
+    return axis_scores_from_sums(agg, axes)
 
 
 def _clip01(c: Column) -> Column:
