@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidewatch.operators.joins import one_row
+
 
 def parse_search_terms(requests: DataFrame, text_col: str, key_cols: list[str]) -> DataFrame:
     """Newline -> comma, split, trim, drop blanks, case-insensitive
@@ -45,9 +47,9 @@ def kpis(final: DataFrame, status: DataFrame | None = None, log: DataFrame | Non
     if status is not None:
         s = status.agg(F.count_if(F.col("status").isin("loaded", "loaded_partial")).cast("bigint")
                        .alias("active_sources"))
-        k = k.crossJoin(F.broadcast(s))
+        k = k.crossJoin(one_row(s))
     if log is not None:
-        k = k.crossJoin(F.broadcast(log.agg(F.max("captured_at_utc").alias("last_harvest_utc"))))
+        k = k.crossJoin(one_row(log.agg(F.max("captured_at_utc").alias("last_harvest_utc"))))
     return k
 
 

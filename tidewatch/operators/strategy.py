@@ -6,7 +6,6 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidewatch.functions.text import count_occurrences
-from tidewatch.operators.joins import checked_broadcast
 from tidewatch.plans import params
 
 AXIS_TOKEN_RATE = 0.04
@@ -85,18 +84,21 @@ def scenarios_frame(spark: SparkSession, scenarios=None) -> DataFrame:
 
 
 def scenario_plan(multimodal: DataFrame, genome_df: DataFrame, scenarios=None) -> DataFrame:
-    """J4 + P18: every topic under every scenario (scenario table is a fixed
-    parameter of a handful of rows, broadcast after its size check)."""
-    spark = multimodal.sparkSession
+    """J4 + P18: every topic under every scenario.  The scenario weights are a
+    fixed parameter embedded as a literal array that each topic row explodes
+    (no join); axes missing for a topic count as 0."""
     names = [n for n, _ in params.GENOME_AXES]
-    sc = checked_broadcast(scenarios_frame(spark, scenarios), max_rows=10_000)
-    base = multimodal.select("topic", "multimodal_final_score").join(genome_df, "topic", "left")
-    impact = sum((F.coalesce(F.col(f"{n}_score"), F.lit(0.0)) * F.col(f"w_{n}") for n in names),
+    table = scenarios or params.SCENARIOS
+    lit = F.array(*[F.struct(F.lit(name).alias("scenario"),
+                             *[F.lit(float(w)).alias(f"w_{n}") for n, w in zip(names, ws)])
+                    for name, ws in table])
+    base = (multimodal.select("topic", "multimodal_final_score").join(genome_df, "topic", "left")
+            .select("*", F.explode(lit).alias("_s")))
+    impact = sum((F.coalesce(F.col(f"{n}_score"), F.lit(0.0)) * F.col(f"_s.w_{n}") for n in names),
                  F.lit(0.0))
-    return (base.crossJoin(sc)
-            .select("topic", "scenario", impact.alias("impact_score"),
-                    F.least(F.greatest(F.col("multimodal_final_score") + 0.25 * impact, F.lit(0.0)),
-                            F.lit(1.5)).alias("adjusted_multimodal_score")))
+    return base.select("topic", F.col("_s.scenario").alias("scenario"), impact.alias("impact_score"),
+                       F.least(F.greatest(F.col("multimodal_final_score") + 0.25 * impact, F.lit(0.0)),
+                               F.lit(1.5)).alias("adjusted_multimodal_score"))
 
 
 def scenario_leaders(plan: DataFrame) -> DataFrame:
