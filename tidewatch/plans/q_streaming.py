@@ -17,13 +17,21 @@ from tidewatch.streaming import mentions as ST
 def landed_events(spark, sf_dir) -> str:
     """The events table landed as one file per calendar week, appended in
     event-time order (as a harvester would), so the stream sees several
-    batches arriving in order."""
+    batches arriving in order.
+
+    One pass writes a week-partitioned staging table; each week is then
+    appended from its own partition (partition pruning), so landing costs two
+    passes over the data, not one per week.
+    """
+    staging = scratch_path(spark, "staging-events")
     path = scratch_path(spark, "landed-events")
     ev = tables.read_table(spark, sf_dir, "events").withColumn(
-        "_wk", F.date_trunc("week", F.col("ts").cast("timestamp")))
-    weeks = [r["_wk"] for r in ev.select("_wk").distinct().orderBy("_wk").collect()]  # calendar-bounded
+        "week", F.date_format(F.date_trunc("week", F.col("ts").cast("timestamp")), "yyyy-MM-dd"))
+    ev.write.mode("overwrite").partitionBy("week").parquet(staging)
+    staged = spark.read.parquet(staging)
+    weeks = [r["week"] for r in staged.select("week").distinct().orderBy("week").collect()]  # calendar-bounded
     for wk in weeks:
-        (ev.where(F.col("_wk") == F.lit(wk)).drop("_wk").coalesce(1)
+        (staged.where(F.col("week") == F.lit(wk)).drop("week").coalesce(1)
          .write.mode("append").parquet(path))
     return path
 
