@@ -131,3 +131,17 @@ def test_union_and_status(spark, tmp):
     assert st["X"]["status"] == "skipped" and st["Reddit"]["status"] == "failed"
     with pytest.raises(ValueError):
         I.union_signals([])
+
+
+def test_missing_artifact_reads_empty(spark, tmp):
+    df = C.load_table_or_empty(spark, os.path.join(tmp, "nope"), "topic string, score double")
+    assert df.count() == 0 and df.columns == ["topic", "score"]
+
+
+def test_harvest_log_is_idempotent_per_batch(spark, tmp):
+    path = os.path.join(tmp, "log")
+    I.append_harvest_log(spark, path, 0, "live", "AI music", "m")
+    I.append_harvest_log(spark, path, 1, "live", "Mindfulness", "m")
+    I.append_harvest_log(spark, path, 1, "live", "Digital art", "m")   # replay of batch 1
+    rows = {r["iteration"]: r["top_topic"] for r in spark.read.parquet(path).collect()}
+    assert rows == {1: "AI music", 2: "Digital art"}
