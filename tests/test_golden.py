@@ -227,3 +227,18 @@ def test_g2_second_network(spark):
         assert bt[t] == pytest.approx(b, abs=1e-12)
         assert dg[t]["degree"] == d
         assert dg[t]["weighted_degree"] == pytest.approx(wd, abs=1e-12)
+
+
+def test_r8_scenario_pivot_and_r7_unpivot(spark):
+    plan = spark.createDataFrame(
+        [("A", "s1", 0.1, 0.5), ("B", "s1", 0.2, 0.7), ("A", "s2", 0.0, 0.4), ("B", "s2", -0.1, 0.3)],
+        "topic string, scenario string, impact_score double, adjusted_multimodal_score double")
+    piv = {r["scenario"]: r for r in ST.pivot_scenarios(plan, ["A", "B"]).collect()}
+    assert piv["s1"]["A"] == 0.5 and piv["s2"]["B"] == 0.3
+    assert ST.scenario_leaders(plan).orderBy("scenario").select("topic").collect()[0]["topic"] == "B"
+    genome = spark.createDataFrame([("A", 0.1, 0.2, 0.3, 0.4, 0.5)],
+                                   "topic string, innovation_score double, tradition_score double, "
+                                   "wellness_score double, community_score double, expression_score double")
+    long = {r["dimension"]: r["score"] for r in ST.unpivot_genome(genome).collect()}
+    assert long == {"innovation_score": 0.1, "tradition_score": 0.2, "wellness_score": 0.3,
+                    "community_score": 0.4, "expression_score": 0.5}

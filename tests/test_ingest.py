@@ -145,3 +145,11 @@ def test_harvest_log_is_idempotent_per_batch(spark, tmp):
     I.append_harvest_log(spark, path, 1, "live", "Digital art", "m")   # replay of batch 1
     rows = {r["iteration"]: r["top_topic"] for r in spark.read.parquet(path).collect()}
     assert rows == {1: "AI music", 2: "Digital art"}
+
+
+def test_community_listing_keeps_every_post(spark, tmp):
+    docs = [{"topic": "running", "request_ordinal": i, "data": {"children": [_post(f"r{i}{j}") for j in range(10)]}}
+            for i in range(3)]
+    p = _write(docs, "hot.json", tmp)
+    rows = I.community_signals(spark, p).collect()
+    assert len(rows) == 30 and {r["topic"] for r in rows} == {"running"}
