@@ -66,3 +66,7 @@ def test_continuous_rescoring_log(spark):
     log = ST.continuous_rescoring(spark, landed + "/ev", "test-rescoring").orderBy("iteration").collect()
     assert [r["iteration"] for r in log] == list(range(1, len(log) + 1))
     assert log[-1]["mentions_seen"] == ev.count()
+    from tidewatch.operators import scoring as SC
+    batch = SC.topic_scores(SC.source_summary(SC.prepare_records(
+        tables.mentions(spark, SF).withColumn("text", F.lit("")))))
+    assert log[-1]["top_topic"] == batch.first()["topic"]
