@@ -221,6 +221,25 @@ def topic_scores(summary: DataFrame, novelty_basis: str = "total_engagement") ->
             .orderBy(F.desc("final_score_with_novelty"), F.asc("topic")))
 
 
+def source_summary_one_pass(records: DataFrame, lexicon=None, negators=None,
+                            punct: str = " ") -> DataFrame:
+    """A1 in a single pass over the records.
+
+    Scaling by the per-source max is linear, so the mean scaled engagement of a
+    (topic, source) group is its mean engagement over the source max: the
+    records are aggregated once into mergeable partials and the source max is
+    applied on that small table.  No second scan, no record-level join-back.
+    """
+    from tidewatch.operators.sentiment import lexicon_sentiment
+
+    out = coerce_records(records)
+    if lexicon is None:
+        out = out.withColumn("sentiment", F.lit(0.0))
+    else:
+        out = out.withColumn("sentiment", lexicon_sentiment(clean_text("text", punct), lexicon, negators))
+    return source_summary_from_partials(summary_partials(out))
+
+
 def topic_scores_from_records(records: DataFrame, lexicon=None, negators=None) -> DataFrame:
-    """Flagship: records -> prepare -> A1 -> A2."""
-    return topic_scores(source_summary(prepare_records(records, lexicon, negators)))
+    """Flagship: records -> one-pass (topic, source) summary -> topic ranking."""
+    return topic_scores(source_summary_one_pass(records, lexicon, negators))

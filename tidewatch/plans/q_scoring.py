@@ -163,21 +163,24 @@ prepared AS (
 
 @register("a1_source_summary", _a1_sql(_SIGNALS_PREPARED) + f"\nSELECT {A1_COLS} FROM source_summary")
 def a1_source_summary(spark, sf_dir):
-    return scoring.source_summary(prepared_signals(spark, sf_dir))
+    return scoring.source_summary_one_pass(tables.signals(spark, sf_dir), dict(params.LEXICON),
+                                           params.NEGATORS)
 
 
 @register("a2_topic_scores", _a1_sql(_SIGNALS_PREPARED) + _a2_sql()
           + f"\nSELECT {A2_COLS} FROM final")
 def a2_topic_scores(spark, sf_dir):
-    """Flagship: signals -> clean/sentiment/scale -> (topic, source) -> topic ranking."""
-    return scoring.topic_scores(scoring.source_summary(prepared_signals(spark, sf_dir)))
+    """Flagship: signals -> clean/sentiment -> one-pass (topic, source) partials -> ranking."""
+    return scoring.topic_scores_from_records(tables.signals(spark, sf_dir), dict(params.LEXICON),
+                                             params.NEGATORS)
 
 
 @register("a2_mentions_topic_scores", _a1_sql(_MENTIONS_PREPARED) + _a2_sql()
           + f"\nSELECT {A2_COLS} FROM final")
 def a2_mentions_topic_scores(spark, sf_dir):
     """The same roll-up over all events (100k rows at sf0.1)."""
-    return scoring.topic_scores(scoring.source_summary(prepared_mentions(spark, sf_dir)))
+    m = tables.mentions(spark, sf_dir).withColumn("text", F.lit(""))
+    return scoring.topic_scores_from_records(m)
 
 
 @register("n5b_novelty_by_mentions", _a1_sql(_MENTIONS_PREPARED) + _a2_sql("mention_count")
