@@ -8,7 +8,7 @@ from tidewatch.operators import adhoc as AD
 from tidewatch.operators import scoring as SC
 from tidewatch.plans import params
 from tidewatch.plans.fixture_sql import SIGNALS, prepared_cte, with_ctes
-from tidewatch.plans.q_scoring import _a1_sql, _a2_sql, prepared_signals
+from tidewatch.plans.q_scoring import _a1_sql, _a2_sql
 from tidewatch.plans.registry import register
 from tidewatch.sources import config as C
 from tidewatch.sources import tables
@@ -67,7 +67,8 @@ SELECT topic, source, mention_count, round(trend_score, 6) AS trend_score
 FROM source_summary WHERE topic IN (SELECT topic FROM sel)""")
 def p30_p31_topic_filter(spark, sf_dir):
     sel = spark.createDataFrame([(t,) for t in SELECTED_TOPICS], "topic string")
-    summary = SC.source_summary(prepared_signals(spark, sf_dir))
+    summary = SC.source_summary_one_pass(tables.signals(spark, sf_dir), dict(params.LEXICON),
+                                         params.NEGATORS)
     return AD.filter_topics(summary, sel).select("topic", "source", "mention_count", "trend_score")
 
 
@@ -75,7 +76,8 @@ def p30_p31_topic_filter(spark, sf_dir):
 SELECT arg_max(topic, (final_score_with_novelty, topic)) AS top_topic,
        CAST(sum(mention_count) AS BIGINT) AS total_mentions FROM final""")
 def a10_kpis(spark, sf_dir):
-    final = SC.topic_scores(SC.source_summary(prepared_signals(spark, sf_dir)))
+    final = SC.topic_scores_from_records(tables.signals(spark, sf_dir), dict(params.LEXICON),
+                                         params.NEGATORS)
     return AD.kpis(final)
 
 

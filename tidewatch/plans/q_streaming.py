@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from tidewatch.operators import scoring as SC
 from tidewatch.plans.fixture_sql import MENTIONS, with_ctes
-from tidewatch.plans.q_scoring import prepared_mentions
 from tidewatch.plans.registry import register
 from tidewatch.session import scratch_path
 from tidewatch.sources import tables
@@ -119,9 +118,8 @@ FROM pr FULL OUTER JOIN cr ON cr.topic = pr.topic"""
 @register("t8_run_over_run", _t8_sql())
 def t8_run_over_run(spark, sf_dir):
     """Ranking over all events vs. the ranking without the last day."""
-    m = prepared_mentions(spark, sf_dir)
-    last = tables.mentions(spark, sf_dir).agg(F.max("date")).first()[0]
-    curr = SC.topic_scores(SC.source_summary(m))
-    prev_rec = tables.mentions(spark, sf_dir).where(F.col("date") < F.lit(last)).withColumn("text", F.lit(""))
-    prev = SC.topic_scores(SC.source_summary(SC.prepare_records(prev_rec)))
+    m = tables.mentions(spark, sf_dir).withColumn("text", F.lit(""))
+    last = m.agg(F.max("date")).first()[0]
+    curr = SC.topic_scores_from_records(m)
+    prev = SC.topic_scores_from_records(m.where(F.col("date") < F.lit(last)))
     return ST.compare_runs(prev, curr)
