@@ -1,50 +1,5 @@
-"""Term extraction from cleaned text (unigrams >= 2 chars, stop words out,
-then adjacent-pair bigrams within each record)."""
+"""X1 parameters: a term is a token of at least this many letters, or a bigram of two."""
 
 from __future__ import annotations
 
-import functools
-import glob
-import os
-import zipfile
-
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
 MIN_TOKEN_CHARS = 2
-
-
-@functools.lru_cache(maxsize=None)
-def spark_english_stop_words() -> tuple[str, ...]:
-    """Spark ML's default English stop-word list, read from the installed jar
-    (the same list ``StopWordsRemover.loadDefaultStopWords('english')`` gives)."""
-    import pyspark
-
-    jars = glob.glob(os.path.join(os.path.dirname(pyspark.__file__), "jars", "spark-mllib_*.jar"))
-    for jar in jars:
-        with zipfile.ZipFile(jar) as z:
-            name = "org/apache/spark/ml/feature/stopwords/english.txt"
-            if name in z.namelist():
-                return tuple(w for w in z.read(name).decode("utf-8").split() if w)
-    raise FileNotFoundError("Spark ML stop-word list not found")
-
-
-def unigrams(clean: Column, stop_words=None) -> Column:
-    stops = spark_english_stop_words() if stop_words is None else tuple(stop_words)
-    stop_arr = F.array(*[F.lit(w) for w in stops]) if stops else F.array().cast("array<string>")
-    toks = F.split(clean, " ")
-    return F.filter(toks, lambda t: (F.length(t) >= MIN_TOKEN_CHARS) & ~F.array_contains(stop_arr, t))
-
-
-def bigrams(uni: Column) -> Column:
-    nxt = F.slice(uni, 2, F.greatest(F.size(uni) - 1, F.lit(0)))
-    pairs = F.zip_with(uni, nxt, lambda a, b: F.when(b.isNotNull(), F.concat_ws(" ", a, b)))
-    return F.filter(pairs, lambda p: p.isNotNull())
-
-
-def terms(clean: Column, stop_words=None, ngram_max: int = 2) -> Column:
-    """Unigrams followed by bigrams of one record."""
-    uni = unigrams(clean, stop_words)
-    if ngram_max < 2:
-        return uni
-    return F.concat(uni, bigrams(uni))

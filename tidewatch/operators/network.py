@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from tidewatch.functions import terms as TM
 from tidewatch.operators.joins import checked_broadcast, one_row
+from tidewatch.plans.params import STOP_WORDS
 
 MAX_TOPICS = 5_000           # pairwise topic similarity is topics^2 / 2 per shared term
 TOP_NEIGHBOURS = 2
@@ -33,7 +34,7 @@ def record_terms(records: DataFrame, clean_col: str = "clean_text", id_cols=("to
     Tokenising, stop-word removal and bigrams run in Spark ML's JVM
     transformers (tokens of >= 2 letters, stop words removed before pairing).
     """
-    stops = list(TM.spark_english_stop_words() if stop_words is None else stop_words)
+    stops = list(STOP_WORDS if stop_words is None else stop_words)
     base = records.select(*id_cols, F.coalesce(F.col(clean_col), F.lit("")).alias("_ct"))
     tok = RegexTokenizer(inputCol="_ct", outputCol="_tok", pattern=" ", gaps=True,
                          minTokenLength=TM.MIN_TOKEN_CHARS, toLowercase=False)

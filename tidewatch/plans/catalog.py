@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import importlib
+import logging
 
 from tidewatch.plans.registry import ORACLE, QUERIES
 
@@ -18,8 +19,15 @@ _MODULES = (
     "tidewatch.plans.q_topics",
 )
 
+log = logging.getLogger(__name__)
+
 
 def load() -> tuple[dict, dict]:
+    """Registered queries and oracle SQL; a module that fails to import is
+    logged and costs only its own queries."""
     for m in _MODULES:
-        importlib.import_module(m)
+        try:
+            importlib.import_module(m)
+        except Exception:
+            log.exception("query module %s could not be loaded", m)
     return QUERIES, ORACLE

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import io
 import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -37,6 +39,7 @@ def build_session(master: str | None = None, app_name: str = "tidewatch",
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     checkpoint_root(spark)
+    ship_package(spark)
     return spark
 
 
@@ -45,6 +48,8 @@ def checkpoint_root(spark: SparkSession) -> str:
 
     ``spark.checkpoint.dir`` is read from the session; only when it is unset
     (local runs and tests) a private folder is created and registered.
+    On a cluster an unset folder is an error: a machine-local one would not
+    be visible to the other executors.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -53,11 +58,38 @@ def checkpoint_root(spark: SparkSession) -> str:
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get(
         "spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local[") and sc.master != "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         configured = tempfile.mkdtemp(prefix="tidewatch-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the Python workers of the session, once per context.
+
+    Functions that run in workers are pickled by reference, so each executor
+    must be able to import ``tidewatch`` whatever its working directory is.
+    The zip travels through Spark's own file distribution.
+    """
+    sc = spark.sparkContext
+    if getattr(sc, "_tidewatch_shipped", False):
+        return
+    here = os.path.dirname(os.path.abspath(__file__))
+    buf = io.BytesIO()
+    with zipfile.ZipFile(buf, "w", zipfile.ZIP_DEFLATED) as z:
+        for folder, _, names in os.walk(here):
+            for name in sorted(names):
+                if name.endswith(".py"):
+                    full = os.path.join(folder, name)
+                    z.write(full, os.path.relpath(full, os.path.dirname(here)))
+    path = os.path.join(tempfile.mkdtemp(prefix="tidewatch-pkg-"), "tidewatch.zip")
+    with open(path, "wb") as f:
+        f.write(buf.getvalue())
+    sc.addPyFile(path)
+    sc._tidewatch_shipped = True
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path under the shared checkpoint folder for written tables."""
     root = checkpoint_root(spark)
