@@ -7,6 +7,7 @@ import os
 from pyspark.sql import functions as F
 
 from tidewatch.llm.near_dup import near_duplicates
+from tidewatch.llm.suffix_dedup import remove_repeats
 
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
@@ -25,6 +26,12 @@ def read(spark, sf_dir: str, name: str):
     return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
 
 
+@query("op3_suffix_dedup")
+def op3_suffix_dedup(spark, sf_dir):
+    """Bytes covered by a 100-byte string that starts earlier, over every document."""
+    return remove_repeats(read(spark, sf_dir, "documents")).drop("kept")
+
+
 @query("op5_near_dup")
 def op5_near_dup(spark, sf_dir):
     """2-word shingles, similarity 0.8, over every document."""
