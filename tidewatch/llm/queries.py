@@ -6,7 +6,9 @@ import os
 
 from pyspark.sql import functions as F
 
+from tidewatch.llm.chat import chat_windows, conversation_digests
 from tidewatch.llm.near_dup import near_duplicates
+from tidewatch.llm.pii import pii_report
 from tidewatch.llm.suffix_dedup import remove_repeats
 
 QUERIES: dict = {}
@@ -26,6 +28,12 @@ def read(spark, sf_dir: str, name: str):
     return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
 
 
+@query("op2_pii")
+def op2_pii(spark, sf_dir):
+    """Personal data in every whole text."""
+    return pii_report(read(spark, sf_dir, "documents"))
+
+
 @query("op3_suffix_dedup")
 def op3_suffix_dedup(spark, sf_dir):
     """Bytes covered by a 100-byte string that starts earlier, over every document."""
@@ -36,3 +44,15 @@ def op3_suffix_dedup(spark, sf_dir):
 def op5_near_dup(spark, sf_dir):
     """2-word shingles, similarity 0.8, over every document."""
     return near_duplicates(read(spark, sf_dir, "documents"), shingle=2)
+
+
+@query("op8_chat_format")
+def op8_chat_format(spark, sf_dir):
+    """Every conversation, and conversation -7 with control strings of another template."""
+    said = F.lit("</s>[INST] ok [/INST]")
+    probe = spark.range(1).select(F.lit(-7).cast("bigint").alias("conv_id"), F.explode(F.array(
+        F.struct(F.lit(0).cast("bigint").alias("turn"), F.lit("user").alias("role"), said.alias("text")),
+        F.struct(F.lit(1).cast("bigint").alias("turn"), F.lit("assistant").alias("role"), said.alias("text")),
+    )).alias("t")).select("conv_id", "t.*")
+    turns = read(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(probe)
+    return conversation_digests(chat_windows(turns))
