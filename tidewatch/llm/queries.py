@@ -10,6 +10,7 @@ from tidewatch.llm.chat import chat_windows, conversation_digests
 from tidewatch.llm.near_dup import near_duplicates
 from tidewatch.llm.pii import pii_report
 from tidewatch.llm.suffix_dedup import remove_repeats
+from tidewatch.llm.token_counts import TOKENIZER, token_counts
 
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
@@ -56,3 +57,10 @@ def op8_chat_format(spark, sf_dir):
     )).alias("t")).select("conv_id", "t.*")
     turns = read(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(probe)
     return conversation_digests(chat_windows(turns))
+
+
+@query("op9_token_counts")
+def op9_token_counts(spark, sf_dir):
+    """Tokens of every whole text under the word-level BPE vocabulary."""
+    import public_tokenizers
+    return token_counts(read(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER))
