@@ -11,6 +11,7 @@ from tidewatch.llm.near_dup import near_duplicates
 from tidewatch.llm.pii import pii_report
 from tidewatch.llm.suffix_dedup import remove_repeats
 from tidewatch.llm.token_counts import TOKENIZER, token_counts
+from tidewatch.llm.toxicity import toxicity
 
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
@@ -64,3 +65,9 @@ def op9_token_counts(spark, sf_dir):
     """Tokens of every whole text under the word-level BPE vocabulary."""
     import public_tokenizers
     return token_counts(read(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER))
+
+
+@query("op10_toxicity")
+def op10_toxicity(spark, sf_dir):
+    """Toxicity score of every whole text."""
+    return toxicity(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
