@@ -18,8 +18,10 @@ SLICE_BYTES = 1 << 20
 
 _BASE = 0x9E3779B97F4A7C15
 _INVERSE = pow(_BASE, -1, 1 << 64)
-_SPACE = np.zeros(256, dtype=bool)
-_SPACE[[9, 10, 11, 12, 13, 32]] = True
+SPACE = np.zeros(256, dtype=bool)
+SPACE[[9, 10, 11, 12, 13, 32]] = True
+# everything ASCII but letters and digits
+PUNCTUATION = np.array([c < 128 and not chr(c).isalnum() for c in range(256)])
 
 
 def mix(h: np.ndarray) -> np.ndarray:
@@ -78,12 +80,13 @@ def slices(off: np.ndarray, limit: int = SLICE_BYTES) -> Iterator[tuple[int, int
         i = j
 
 
-def word_bounds(buf: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Starts and ends of the words ``[^\\x20\\x09-\\x0D]+``; none crosses a document."""
+def word_bounds(buf: np.ndarray, off: np.ndarray, breaks: np.ndarray = SPACE) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and ends of the runs of bytes outside ``breaks`` (by default the
+    words ``[^\\x20\\x09-\\x0D]+``); none crosses a document."""
     n = len(buf)
     if not n:
         return np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
-    solid = ~_SPACE[buf]
+    solid = ~breaks[buf]
     edge = np.zeros(n + 1, dtype=bool)
     edge[off] = True
     before = np.empty(n, dtype=bool)
@@ -104,12 +107,12 @@ def span_hashes(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray, lower: bo
 
 
 def words_of(raw: np.ndarray, off: np.ndarray, i: int, j: int,
-             lower: bool = True) -> tuple[np.ndarray, np.ndarray]:
+             lower: bool = True, breaks: np.ndarray = SPACE) -> tuple[np.ndarray, np.ndarray]:
     """Word hashes of documents i..j-1, and where each document's words begin
     (j - i + 1 positions)."""
     base = off[i]
     buf, rel = raw[base:off[j]], off[i:j + 1] - base
-    starts, ends = word_bounds(buf, rel)
+    starts, ends = word_bounds(buf, rel, breaks)
     return span_hashes(buf, starts, ends, lower), np.searchsorted(starts, rel)
 
 

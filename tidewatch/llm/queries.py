@@ -7,6 +7,8 @@ import os
 from pyspark.sql import functions as F
 
 from tidewatch.llm.chat import chat_windows, conversation_digests
+from tidewatch.llm.decontaminate import contaminated
+from tidewatch.llm.mixing import MIX_SQL, mix_sources
 from tidewatch.llm.near_dup import near_duplicates
 from tidewatch.llm.pii import pii_report
 from tidewatch.llm.suffix_dedup import remove_repeats
@@ -30,6 +32,12 @@ def read(spark, sf_dir: str, name: str):
     return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
 
 
+@query("op1_decontaminate")
+def op1_decontaminate(spark, sf_dir):
+    """Every document against every test item."""
+    return contaminated(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
 @query("op2_pii")
 def op2_pii(spark, sf_dir):
     """Personal data in every whole text."""
@@ -42,6 +50,12 @@ def op3_suffix_dedup(spark, sf_dir):
     return remove_repeats(read(spark, sf_dir, "documents")).drop("kept")
 
 
+@query("op4_mix_sources", MIX_SQL.format(docs="documents"))
+def op4_mix_sources(spark, sf_dir):
+    """All sources to equal weight, one epoch of the corpus in size."""
+    return mix_sources(read(spark, sf_dir, "documents"))
+
+
 @query("op5_near_dup")
 def op5_near_dup(spark, sf_dir):
     """2-word shingles, similarity 0.8, over every document."""
