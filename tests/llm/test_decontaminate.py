@@ -10,8 +10,7 @@ from tidewatch.llm.decontaminate import contaminated, drop_contaminated, smith_w
 
 
 def words(text):
-    return re.findall(r"[A-Za-z0-9\x80-\U0010ffff]+", (text or "").translate(str.maketrans(
-        "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")))
+    return re.findall(r"[A-Za-z0-9\x80-\U0010ffff]+", (text or "").lower())
 
 
 def local_score(a, b):
@@ -27,7 +26,7 @@ def local_score(a, b):
 
 def corpus():
     r = random.Random(6)
-    vocab = [f"w{i}" for i in range(3000)]
+    vocab = [f"w{i}" for i in range(2900)] + [f"é{i}ö" for i in range(100)]
     items = [(i, " ".join(r.choice(vocab) for _ in range(r.choice([2, 8, 30, 45])))) for i in range(12)]
     items += [(12, " ".join(r.choice(vocab) for _ in range(700))), (13, None), (14, "..."), (None, "w1 w2 w3 w4"), (15, items[3][1])]
     rows = []
@@ -57,7 +56,7 @@ def test_pairs_equal_brute_force(spark, block_words):
             if d is None or i is None or not x:
                 continue
             s = sum(local_score(x[a:a + 256], words(t)) for a in range(0, len(x), 256)) / (2 * len(x))
-            if s >= 0.5:
+            if s >= 0.4:
                 want[d, i] = s
     # a pair can only be missed if no run of three item words survived the edits
     for pair in set(want) - set(got):

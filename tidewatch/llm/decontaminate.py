@@ -4,7 +4,7 @@ Method: rare n-gram seeds join training passages to test items, then
 Smith-Waterman alignment scores paraphrased or edited copies.
 
 1. *Words* are runs of letters and digits (any non-ASCII byte counts as a
-   letter), A-Z lower-cased, so punctuation does not matter.
+   letter) of the lower-cased text, so punctuation and case do not matter.
 2. *Seeds* are the items' runs of ``GRAM`` words whose chance frequency (the
    product of their words' shares of the corpus) is at most ``RARE``; the
    shares are counted over all documents.  Judging rarity by the words and not
@@ -45,7 +45,7 @@ from tidewatch.llm.store import Scratch
 GRAM = 3
 RARE = 1e-7           # chance frequency of a seed per corpus position
 RAREST = 5            # seeds of an item that has no rare ones
-MIN_SCORE = 0.5
+MIN_SCORE = 0.4
 BLOCK_WORDS = 1_000_000
 PIECE = 256
 MATCH, MISMATCH, GAP = 2, -1, -1
@@ -233,9 +233,9 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, min_score: float = MIN_S
     spark = docs.sparkSession
     scratch = Scratch(spark, "decontaminate")
     texts = docs.where("doc_id IS NOT NULL").select(
-        F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
+        F.col("doc_id").cast("bigint").alias("doc_id"), F.lower(F.col("text").cast("string")).alias("text"))
     items = (benchmark.where("item_id IS NOT NULL AND text IS NOT NULL")
-             .select(F.col("item_id").cast("bigint").alias("item_id"), F.col("text").cast("string").alias("text"))
+             .select(F.col("item_id").cast("bigint").alias("item_id"), F.lower(F.col("text").cast("string")).alias("text"))
              .dropDuplicates(["item_id"]))
     # blocks of items by their running size; an item is never cut
     size = F.length("text") / 2 + 1
