@@ -11,6 +11,7 @@ from tidewatch.llm.decontaminate import contaminated
 from tidewatch.llm.mixing import MIX_SQL, mix_sources
 from tidewatch.llm.near_dup import near_duplicates
 from tidewatch.llm.pii import pii_report
+from tidewatch.llm.quality import QUALITY_SQL, quality_report
 from tidewatch.llm.suffix_dedup import remove_repeats
 from tidewatch.llm.token_counts import TOKENIZER, token_counts
 from tidewatch.llm.toxicity import toxicity
@@ -62,6 +63,12 @@ def op5_near_dup(spark, sf_dir):
     return near_duplicates(read(spark, sf_dir, "documents"), shingle=2)
 
 
+@query("op7_quality_rules", QUALITY_SQL)
+def op7_quality_rules(spark, sf_dir):
+    """Line-first quality rules over every whole text."""
+    return quality_report(read(spark, sf_dir, "documents")).drop("clean")
+
+
 @query("op8_chat_format")
 def op8_chat_format(spark, sf_dir):
     """Every conversation, and conversation -7 with control strings of another template."""
