@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from tidewatch.llm.chat import chat_windows, conversation_digests
 from tidewatch.llm.decontaminate import contaminated
+from tidewatch.llm.html_extract import extract_pages
 from tidewatch.llm.mixing import MIX_SQL, mix_sources
 from tidewatch.llm.near_dup import near_duplicates
 from tidewatch.llm.pii import pii_report
@@ -63,6 +64,12 @@ def op5_near_dup(spark, sf_dir):
     return near_duplicates(read(spark, sf_dir, "documents"), shingle=2)
 
 
+@query("op6_html_extract")
+def op6_html_extract(spark, sf_dir):
+    """Main text of every page."""
+    return extract_pages(read(spark, sf_dir, "pages"))
+
+
 @query("op7_quality_rules", QUALITY_SQL)
 def op7_quality_rules(spark, sf_dir):
     """Line-first quality rules over every whole text."""
