@@ -191,18 +191,19 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, size: int = SAMPLE) -> l
     known = (labels.select("doc_id", F.col("toxic").cast("int").alias("toxic"))
              .where("doc_id IS NOT NULL AND toxic IN (0, 1)").where(~held_out(F.col("doc_id"))).distinct())
     texts = docs.select("doc_id", F.col("text").cast("string").alias("text")).where("text IS NOT NULL")
-    joined = texts.join(known, "doc_id").withColumn("order", F.xxhash64("doc_id"))
+    here = known.join(texts.select("doc_id"), "doc_id", "left_semi").withColumn("order", F.xxhash64("doc_id"))
+    picked = None
+    for k in (0, 1):
+        part = here.where(F.col("toxic") == k).orderBy("order", "doc_id").limit(size)
+        picked = part if picked is None else picked.unionByName(part)
     # long texts give pieces from three evenly spaced places
     third, n = SAMPLE_BYTES // 3, F.length("text")
     pieces = F.when(n <= SAMPLE_BYTES, F.col("text")).otherwise(F.concat_ws(
         " ", F.substr("text", F.lit(1), F.lit(third)), F.substr("text", (n / 2).cast("int"), F.lit(third)),
         F.substr("text", n - third, F.lit(third))))
-    out = []
-    for k in (0, 1):
-        rows = (joined.where(F.col("toxic") == k).select("order", "doc_id", pieces.alias("text"))
-                .orderBy("order", "doc_id").limit(size).collect())
-        out += [(r["text"], k) for r in rows]
-    return out
+    rows = (texts.join(F.broadcast(picked), "doc_id")   # at most 2 * size rows
+            .select("toxic", "order", "doc_id", pieces.alias("text")).collect())
+    return [(r["text"], r["toxic"]) for r in sorted(rows, key=lambda r: (r["toxic"], r["order"], r["doc_id"], r["text"]))]
 
 
 def score_documents(docs: DataFrame, model: Model, text_col: str = "text", out_col: str = "score") -> DataFrame:
