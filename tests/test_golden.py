@@ -242,3 +242,28 @@ def test_r8_scenario_pivot_and_r7_unpivot(spark):
     long = {r["dimension"]: r["score"] for r in ST.unpivot_genome(genome).collect()}
     assert long == {"innovation_score": 0.1, "tradition_score": 0.2, "wellness_score": 0.3,
                     "community_score": 0.4, "expression_score": 0.5}
+
+
+def _ring(spark, n):
+    nodes = spark.range(n).select(F.format_string("t%05d", "id").alias("topic"))
+    edges = spark.range(n).select(F.format_string("t%05d", "id").alias("source_topic"),
+                                  F.format_string("t%05d", (F.col("id") + 1) % n).alias("target_topic"), F.lit(0.5).alias("weight"))
+    return nodes, edges
+
+
+def test_six_thousand_topics_pass_pagerank_and_edges(spark):
+    nodes, edges = _ring(spark, 6000)
+    pr = N.pagerank(nodes, edges).agg(F.min("pagerank"), F.max("pagerank"), F.count("*")).first()
+    assert pr[2] == 6000 and abs(pr[0] - 1 / 6000) < 1e-9 and abs(pr[1] - 1 / 6000) < 1e-9
+    sim = edges.select(F.least("source_topic", "target_topic").alias("topic_a"),
+                       F.greatest("source_topic", "target_topic").alias("topic_b"), F.col("weight").alias("similarity"))
+    assert N.similarity_edges(sim).count() == 6000
+    bt = N.betweenness(nodes, edges, sources=8)
+    assert bt.count() == 6000
+
+
+def test_pagerank_that_does_not_settle_raises(spark):
+    nodes, edges = _ring(spark, 4)
+    edges = edges.withColumn("weight", F.when(F.col("source_topic") == "t00000", 9.0).otherwise(F.col("weight")))
+    with pytest.raises(RuntimeError):
+        N.pagerank(nodes, edges, max_iter=2, tol=1e-15)

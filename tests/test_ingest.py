@@ -153,3 +153,65 @@ def test_community_listing_keeps_every_post(spark, tmp):
     p = _write(docs, "hot.json", tmp)
     rows = I.community_signals(spark, p).collect()
     assert len(rows) == 30 and {r["topic"] for r in rows} == {"running"}
+
+
+# --- probes of paths, duplicates and missing ordinals ---------------------------
+
+def test_uris_are_read_and_the_log_keeps_every_batch(spark, tmp):
+    log = f"file://{tmp}/log"
+    for batch in range(3):
+        I.append_harvest_log(spark, log, batch, "live", f"t{batch}", "m")
+    assert spark.read.parquet(log).count() == 3
+    with open(os.path.join(tmp, "topics.csv"), "w") as f:
+        f.write("name,news_query,spotify_query,reddit_terms,reddit_subreddits\nJazz,,,,\n")
+    assert [r["name"] for r in C.load_topics(spark, f"file://{tmp}/topics.csv").collect()] == ["Jazz"]
+    spark.range(5).write.parquet(f"file://{tmp}/table")
+    assert C.load_table_or_empty(spark, f"file://{tmp}/table", "id long").count() == 5
+    with open(os.path.join(tmp, "x.csv"), "w") as f:
+        f.write("text,tweet_id,topic\nhello,1,T\n")
+    assert I.x_csv_signals(spark, f"file://{tmp}/x.csv", C.topics_frame(spark)).count() == 1
+
+
+def test_posts_without_ordinal_stay_and_ids_are_kept_once(spark, tmp):
+    p = _write([{"topic": "A", "data": {"children": [_post("p1"), _post("p2")]}}], "a.json", tmp)
+    assert {r["source_item_id"] for r in I.post_signals(spark, p).collect()} == {"p1", "p2"}
+    # ordinals that start anew for each topic
+    p = _write([{"topic": t, "request_ordinal": 0, "data": {"children": [_post("q1", score=s), _post(f"q{t}")]}}
+                for t, s in (("B", 2), ("A", 1))], "b.json", tmp)
+    rows = sorted((r["source_item_id"], r["topic"]) for r in I.post_signals(spark, p).collect())
+    assert rows == [("q1", "A"), ("qA", "A"), ("qB", "B")]
+
+
+def test_a_post_beyond_the_budget_counts_where_it_is_seen_next(spark, tmp):
+    docs = [{"topic": "A", "request_ordinal": 0, "data": {"children": [_post("a"), _post("b")]}},
+            {"topic": "A", "request_ordinal": 1, "data": {"children": [_post("c")]}},
+            {"topic": "B", "request_ordinal": 2, "data": {"children": [_post("c")]}}]
+    p = _write(docs, "c.json", tmp)
+    rows = {r["source_item_id"]: r["topic"] for r in I.post_signals(spark, p, max_posts_per_topic=2).collect()}
+    assert rows == {"a": "A", "b": "A", "c": "B"}
+
+
+def test_media_without_ordinal_and_last_duplicate(spark, tmp):
+    p = _write([{"topic": "T", "data": [{"id": "1", "attachments": {"media_keys": ["m"]}}, {"id": "2"}],
+                 "includes": {"media": [{"media_key": "m", "url": "http://first"}, {"media_key": "m", "url": "http://last"},
+                                        {"media_key": "m"}]}}, {"topic": "T", "data": [{"id": "3"}]}], "m.json", tmp)
+    rows = {r["source_item_id"]: r["media_url"] for r in I.x_api_signals(spark, p).collect()}
+    assert rows == {"1": "http://last", "2": "", "3": ""}
+
+
+def test_a_failed_batch_empties_the_audio_lookup(spark, tmp):
+    good = {"request_ordinal": 0, "audio_features": [{"id": "t1", "danceability": 0.1}]}
+    assert I.audio_feature_lookup(spark, _write([good], "g.json", tmp)).count() == 1
+    bad = _write([good, {"request_ordinal": 1, "error": "429"}], "e.json", tmp)
+    assert I.audio_feature_lookup(spark, bad).count() == 0
+    torn = os.path.join(tmp, "torn.json")
+    with open(torn, "w") as f:
+        f.write(json.dumps(good) + "\n{\"audio_features\": [\n")
+    assert I.audio_feature_lookup(spark, torn).count() == 0
+
+
+def test_cleaning_knows_every_white_space(spark):
+    from tidewatch.functions.text import clean_text
+    text = "ai\u00a0music http://x\u00a0jazz\u2003now\u3000http\x1cend"
+    r = spark.createDataFrame([(text,)], "t string").select(clean_text("t"), clean_text("t", "")).first()
+    assert r[0] == "ai music jazz now http end" and r[1] == "ai music jazz now http end"

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from tidewatch.functions.text import clean_text, count_occurrences, stable_seed
 from tidewatch.operators import forecast as FC
 from tidewatch.operators import scoring as SC
-from tidewatch.operators.sentiment import score_text
+from tidewatch.operators.sentiment import lexicon_sentiment, prefix_tree_pattern
 
 
 def _py_seed(s: str) -> int:
@@ -68,12 +68,40 @@ def test_ensemble_weights_sum_to_one(ys):
     assert (fc >= 0).all() and len(fc) == 8
 
 
-def test_sentiment_negation():
+def _scores(spark, texts, lex, negs):
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, t string")
+    rows = df.select("i", lexicon_sentiment(df.t, lex, negs).alias("s"))
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Arrow" not in plan
+    return [r.s for r in rows.orderBy("i").collect()]
+
+
+def test_sentiment_negation(spark):
     lex = {"good": 0.8, "bad": -0.6}
-    assert score_text("good", lex, frozenset({"not"})) == pytest.approx(0.8)
-    assert score_text("not good", lex, frozenset({"not"})) == pytest.approx(-0.4)
-    assert score_text("good bad", lex, frozenset()) == pytest.approx(0.1)
-    assert score_text("", lex, frozenset()) == 0.0
+    assert _scores(spark, ["good", "not good", ""], lex, ["not"]) == pytest.approx([0.8, -0.4, 0.0])
+    assert _scores(spark, ["good bad", None, "goods not"], lex, []) == pytest.approx([0.1, 0.0, 0.0])
+
+
+def test_sentiment_equals_a_token_loop(spark):
+    import random
+    r = random.Random(2)
+    lex = {"no": -0.2, "a": 0.5, "ab": -1.0, "abc": 1.0, "never": 0.3}
+    negs = ["no", "not", "never"]
+    texts = [" ".join(r.choice(["no", "not", "never", "a", "ab", "abc", "abcd", "x"]) for _ in range(r.randint(0, 9)))
+             for _ in range(300)]
+
+    def loop(text):
+        toks = text.split(" ")
+        hits = [lex[t] * (-0.5 if i and toks[i - 1] in negs else 1.0) for i, t in enumerate(toks) if t in lex]
+        return min(1.0, max(-1.0, sum(hits) / len(hits))) if hits else 0.0
+    assert _scores(spark, texts, lex, negs) == pytest.approx([loop(t) for t in texts])
+
+
+def test_prefix_tree_pattern_holds_many_words():
+    import re
+    words = [f"w{i}x" for i in range(5000)] + ["w"]
+    pattern = re.compile(prefix_tree_pattern(words))
+    assert all(pattern.fullmatch(w) for w in words) and not pattern.fullmatch("w5000x")
 
 
 def test_spine_has_no_gaps(spark):

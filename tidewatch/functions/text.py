@@ -5,10 +5,13 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-_URL = r"http\S+"
+# every Unicode white space character (Java's and RE2's own classes are ASCII only)
+WHITE_SPACE = (r"\x09-\x0D\x1C-\x20\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}"
+               r"\x{202F}\x{205F}\x{3000}")
+_URL = f"http[^{WHITE_SPACE}]+"
 _NOT_LETTERS = r"[^a-zA-Z]+"
-_NOT_LETTER = r"[^a-zA-Z\s]"
-_SPACES = r"\s+"
+_NOT_LETTER = f"[^a-zA-Z{WHITE_SPACE}]"
+_SPACES = f"[{WHITE_SPACE}]+"
 
 
 def _c(col: str | Column) -> Column:
@@ -32,12 +35,6 @@ def clean_text(col: str | Column, punct: str = " ") -> Column:
     return F.trim(text)
 
 
-def tokens(clean: str | Column) -> Column:
-    """Whitespace tokens of an already cleaned text; '' -> empty array."""
-    c = _c(clean)
-    return F.when(c == "", F.array().cast("array<string>")).otherwise(F.split(c, " "))
-
-
 def stable_seed(col: str | Column) -> Column:
     """Sum over characters of (position * code point), mod 2^32 - 1."""
     c = _c(col)

@@ -36,8 +36,8 @@ def union_first_wins(primary: DataFrame, secondary: DataFrame, name_col: str = "
 
 def filter_topics(df: DataFrame, selected: DataFrame) -> DataFrame:
     """Keep rows whose topic is in the selection (left-semi join; the
-    selection is a small parameter table)."""
-    return df.join(F.broadcast(selected.select("topic").distinct()), "topic", "left_semi")
+    planner broadcasts a selection of small size)."""
+    return df.join(selected.select("topic").distinct(), "topic", "left_semi")
 
 
 def kpis(final: DataFrame, status: DataFrame | None = None, log: DataFrame | None = None) -> DataFrame:

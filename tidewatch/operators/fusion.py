@@ -76,7 +76,7 @@ def deep_fusion(records: DataFrame) -> tuple[DataFrame, DataFrame]:
                                   outputCol="_features"))
     stages.append(LinearRegression(featuresCol="_features", labelCol="fusion_target",
                                    predictionCol="_pred", regParam=1e-6, elasticNetParam=0.0,
-                                   maxIter=100, solver="normal"))
+                                   maxIter=100, solver="auto"))
     model = Pipeline(stages=stages).fit(prepared)
     lo, hi = SCORE_CLIP
     scored = (model.transform(prepared)

@@ -20,7 +20,6 @@ from tidewatch.functions import terms as TM
 from tidewatch.operators.joins import checked_broadcast, one_row
 from tidewatch.plans.params import STOP_WORDS
 
-MAX_TOPICS = 5_000           # pairwise topic similarity is topics^2 / 2 per shared term
 TOP_NEIGHBOURS = 2
 DAMPING = 0.85
 PR_MAX_ITER = 100
@@ -64,16 +63,19 @@ def topic_tfidf(counts: DataFrame) -> DataFrame:
     w = (counts.crossJoin(one_row(n))
          .withColumn("_df", F.count(F.lit(1)).over(by_term))
          .withColumn("w", F.col("tf") * (F.log((1.0 + F.col("_n")) / (1.0 + F.col("_df"))) + 1.0)))
+    w = w.checkpoint()   # read for the norms and, twice, by the similarity join
     norm = w.groupBy("topic").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("_norm"))
     return (w.join(checked_broadcast(norm), "topic")
             .select("topic", "term", (F.col("w") / F.col("_norm")).alias("weight")))
 
 
 def topic_similarity(tfidf: DataFrame) -> DataFrame:
-    """Cosine of every topic pair sharing a term (a.topic < b.topic)."""
-    n_topics = tfidf.select("topic").distinct().limit(MAX_TOPICS + 1).count()
-    if n_topics > MAX_TOPICS:
-        raise ValueError(f"more than {MAX_TOPICS} topics: pairwise similarity would not stay bounded")
+    """Cosine of every topic pair sharing a term (a.topic < b.topic).
+
+    A term of very many topics is a hot key of the self-join: the skew join
+    splits its partition, and the products of a pair are summed before the
+    shuffle.
+    """
     a = tfidf.select(F.col("topic").alias("topic_a"), "term", F.col("weight").alias("wa"))
     b = tfidf.select(F.col("topic").alias("topic_b"), "term", F.col("weight").alias("wb"))
     return (a.join(b, "term").where(F.col("topic_a") < F.col("topic_b"))
@@ -125,15 +127,13 @@ def pagerank(nodes: DataFrame, edges: DataFrame, damping: float = DAMPING,
     carries each node's rank history through the same aggregate.  After a
     block the state is checkpointed to the shared folder (short lineage; a
     lost executor repeats at most one block) and one small aggregate reads the
-    L1 change of every step of the block.  The edge table has at most
-    2 * TOP_NEIGHBOURS + 2 rows per topic, so it is broadcast.
+    L1 change of every step of the block.  The edge table is broadcast up to a
+    checked size and shuffled beyond it.  Raises if the ranks do not settle.
     """
     node_ids = nodes.select("topic").distinct().checkpoint()
     n = node_ids.count()
     if n == 0:
         return nodes.select("topic", F.lit(0.0).alias("pagerank"))
-    if n > MAX_TOPICS:
-        raise ValueError(f"more than {MAX_TOPICS} topics")
     directed = (edges.select(F.col("source_topic").alias("src"), F.col("target_topic").alias("dst"), "weight")
                 .unionByName(edges.select(F.col("target_topic").alias("src"),
                                           F.col("source_topic").alias("dst"), "weight")))
@@ -145,9 +145,9 @@ def pagerank(nodes: DataFrame, edges: DataFrame, damping: float = DAMPING,
                             F.lit(0.0).alias("p"), F.lit(True).alias("self"))
     trans = (directed.join(out_w, "src")
              .select("src", "dst", (F.col("weight") / F.col("_out")).alias("p"), F.lit(False).alias("self"))
-             .unionByName(dangling).unionByName(selfs)).checkpoint()
-    trans = F.broadcast(trans)
-    everything = Window.partitionBy()   # over the node table only (<= MAX_TOPICS + 1 rows)
+             .unionByName(dangling).unionByName(selfs))
+    trans = checked_broadcast(trans)
+    everything = Window.partitionBy()   # over the node table only: one row per topic
 
     def step(r: DataFrame) -> DataFrame:
         agg = (r.join(trans, r.topic == trans.src)
@@ -177,85 +177,85 @@ def pagerank(nodes: DataFrame, edges: DataFrame, damping: float = DAMPING,
             return cur.select("topic", F.element_at("hist", hit + 2).alias("pagerank"))
         state = cur.select("topic", "rank", F.array("rank").alias("hist"))
         done += k
-    return state.select("topic", F.col("rank").alias("pagerank"))
+    raise RuntimeError(f"PageRank did not settle within {max_iter} iterations")
 
 
 # --- X7: betweenness (Brandes), sources distributed over tasks ------------------
 
-def _brandes_from(sources, adj):
-    """Dependency accumulation from each source; shortest paths use the edge
-    weight as distance (the similarity itself, as in the original model)."""
-    out: dict[str, float] = {}
-    for s in sources:
-        stack = []
-        pred = {v: [] for v in adj}
-        sigma = dict.fromkeys(adj, 0.0)
-        sigma[s] = 1.0
-        dist: dict[str, float] = {}
-        seen = {s: 0.0}
-        heap = [(0.0, 0, s, s)]
-        counter = 1
-        while heap:
-            d, _, p, v = heapq.heappop(heap)
-            if v in dist:
-                continue
-            sigma[v] += sigma[p] if p != v else 0.0
-            stack.append(v)
-            dist[v] = d
-            for w, wt in adj[v]:
-                vw = d + wt
-                if w not in dist and (w not in seen or vw < seen[w]):
-                    seen[w] = vw
-                    heapq.heappush(heap, (vw, counter, v, w))
-                    counter += 1
-                    sigma[w] = 0.0
-                    pred[w] = [v]
-                elif vw == seen.get(w):
-                    sigma[w] += sigma[v]
-                    pred[w].append(v)
-        delta = dict.fromkeys(stack, 0.0)
-        while stack:
-            w = stack.pop()
-            coeff = (1.0 + delta[w]) / sigma[w] if sigma[w] else 0.0
-            for v in pred[w]:
-                delta[v] += sigma[v] * coeff
-            if w != s:
-                out[w] = out.get(w, 0.0) + delta[w]
-    return out
-
-
-def betweenness(nodes: DataFrame, edges: DataFrame) -> DataFrame:
+def _distances(graph: list, start: int) -> list:
+    """(distance, node) of all reachable nodes, nearest first."""
+    settled: dict[int, float] = {}
+    order, frontier = [], [(0.0, start)]
+    while frontier:
+        far, node = heapq.heappop(frontier)
+        if node in settled:
+            continue
+        settled[node] = far
+        order.append((far, node))
+        for other, length in graph[node]:
+            if other not in settled:
+                heapq.heappush(frontier, (far + length, other))
+    return order
+
+
+def source_dependencies(graph: list, start: int) -> dict[int, float]:
+    """Brandes' dependencies of one source: paths are counted outwards over the
+    shortest-path graph, and each node hands its share back to the nodes that
+    lead to it, farthest first."""
+    order = _distances(graph, start)
+    far = {node: d for d, node in order}
+    leads = {node: [other for other, length in graph[node] if other in far and far[other] + length == d and other != node]
+             for d, node in order}
+    paths = {start: 1.0}
+    for _, node in order[1:]:
+        paths[node] = sum(paths.get(other, 0.0) for other in leads[node])
+    share = dict.fromkeys(far, 0.0)
+    for _, node in reversed(order[1:]):
+        for other in leads[node]:
+            if paths[node]:
+                share[other] += paths.get(other, 0.0) / paths[node] * (1.0 + share[node])
+    share.pop(start)
+    return share
+
+
+def betweenness(nodes: DataFrame, edges: DataFrame, sources: int | None = None) -> DataFrame:
     """Normalised weighted betweenness: sum over sources / ((n-1)(n-2)).
 
-    The adjacency has at most TOP_NEIGHBOURS edges per topic (2n rows), a
-    proven bound, so it is shipped to the tasks as a broadcast variable;
-    source nodes are spread over partitions and partial sums are reduced with
-    a groupBy.
+    Shortest paths use the edge weight as distance (the similarity itself, as
+    in the original model).  The graph has at most TOP_NEIGHBOURS edges per
+    topic; tasks get it as a broadcast variable and share the sources, whose
+    dependencies are summed with map-side combine.  The cost is topics times
+    edges; ``sources`` estimates it from that many sources (those with the
+    lowest hash), scaled up.
     """
     spark: SparkSession = nodes.sparkSession
     node_ids = nodes.select("topic").distinct()
-    n = node_ids.count()
-    edge_rows = edges.select("source_topic", "target_topic", "weight").collect() \
-        if n <= MAX_TOPICS else None
-    if edge_rows is None:
-        raise ValueError("too many topics for the broadcast adjacency")
-    names = [r["topic"] for r in node_ids.collect()]
-    adj: dict[str, list] = {t: [] for t in names}
-    for r in edge_rows:
-        adj.setdefault(r["source_topic"], []).append((r["target_topic"], float(r["weight"])))
-        adj.setdefault(r["target_topic"], []).append((r["source_topic"], float(r["weight"])))
-    bc = spark.sparkContext.broadcast(adj)
+    names = sorted(r["topic"] for r in node_ids.collect())
+    n = len(names)
+    number = {t: i for i, t in enumerate(names)}
+    graph: list[list] = [[] for _ in names]
+    for r in edges.select("source_topic", "target_topic", "weight").toLocalIterator():
+        a, b, w = number[r["source_topic"]], number[r["target_topic"]], float(r["weight"])
+        graph[a].append((b, w))
+        graph[b].append((a, w))
+    shared = spark.sparkContext.broadcast((names, number, graph))
     scale = 1.0 / ((n - 1) * (n - 2)) if n > 2 else 0.0
+    chosen = node_ids
+    if sources is not None and sources < n:
+        chosen = node_ids.orderBy(F.xxhash64("topic"), "topic").limit(sources)
+        scale *= n / sources
 
     def run(batches):
-        graph = bc.value
+        names, number, graph = shared.value
         for pdf in batches:
-            part = _brandes_from(list(pdf["topic"]), graph)
-            yield pd.DataFrame({"topic": list(part.keys()), "b": list(part.values())},
-                               columns=["topic", "b"])
+            total: dict[int, float] = {}
+            for topic in pdf["topic"]:
+                for node, value in source_dependencies(graph, number[topic]).items():
+                    total[node] = total.get(node, 0.0) + value
+            yield pd.DataFrame({"topic": [names[k] for k in total], "b": list(total.values())}, columns=["topic", "b"])
 
     parts = max(1, min(n, spark.sparkContext.defaultParallelism))
-    partial = node_ids.repartition(parts).mapInPandas(run, "topic string, b double")
+    partial = chosen.repartition(parts).mapInPandas(run, "topic string, b double")
     summed = partial.groupBy("topic").agg(F.sum("b").alias("_b"))
     return (node_ids.join(summed, "topic", "left")
             .select("topic", (F.coalesce(F.col("_b"), F.lit(0.0)) * scale).alias("betweenness")))

@@ -137,7 +137,7 @@ def source_summary_from_partials(parts: DataFrame) -> DataFrame:
     scaled engagement is the mean engagement over the source max."""
     smax = parts.groupBy("source").agg(F.max("max_engagement").alias("_smax"))
     denom = F.when(F.col("_smax") == 0, F.lit(1.0)).otherwise(F.col("_smax"))
-    g = (parts.join(F.broadcast(smax), "source")
+    g = (parts.join(smax, "source")
          .select("topic", "source", F.col("n").alias("mention_count"),
                  (F.col("sum_engagement") / F.col("n") / denom).alias("avg_engagement"),
                  F.col("sum_engagement").alias("total_engagement_raw"),

@@ -4,71 +4,75 @@ The polarity model is a parameter table ``(word, polarity)``.  A record's
 sentiment is the mean polarity of its lexicon hits; a hit directly preceded by
 a negator counts with factor -0.5; no hits -> 0.0; result clipped to [-1, 1].
 
-Scoring is a per-record projection with no shuffle and no join back to the
-(large) record table: an Arrow-batched scalar function looks every token up in
-a hash table.  The lexicon is size-checked before it is shipped to the tasks.
+Scoring is a per-record projection inside the JVM: one regular expression
+(a prefix tree of the lexicon, so a token costs its length whatever the number
+of entries) pulls out the hits, a second one those behind a negator, and only
+the hits are looked up and summed.  No shuffle, no Python worker.
 """
 
 from __future__ import annotations
 
-import pandas as pd
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 DEFAULT_NEGATORS = ("not", "no", "never")
 NEGATION_FACTOR = -0.5
-MAX_LEXICON_ENTRIES = 200_000
 
 
 def _lexicon_pairs(lexicon) -> dict[str, float]:
     if isinstance(lexicon, dict):
         pairs = list(lexicon.items())
     elif isinstance(lexicon, DataFrame):
-        rows = lexicon.select("word", "polarity").limit(MAX_LEXICON_ENTRIES + 1).collect()
-        pairs = [(r["word"], r["polarity"]) for r in rows]
+        pairs = [(r["word"], r["polarity"]) for r in lexicon.select("word", "polarity").collect()]   # configuration
     else:
         pairs = list(lexicon)
-    if len(pairs) > MAX_LEXICON_ENTRIES:
-        raise ValueError("lexicon exceeds the size that may be shipped with each task")
     merged: dict[str, float] = {}
     for w, p in pairs:   # last entry for a word wins; words matched lower-case
-        if w is not None and p is not None:
+        if w and p is not None:
             merged[str(w).lower()] = float(p)
     return merged
 
 
-def score_text(text: str, lex: dict[str, float], negs: frozenset) -> float:
-    """Mean signed polarity of one cleaned text (helper for the batch function)."""
-    if not text:
-        return 0.0
-    total = 0.0
-    hits = 0
-    prev = None
-    for tok in text.split(" "):
-        p = lex.get(tok)
-        if p is not None:
-            total += p * (NEGATION_FACTOR if prev in negs else 1.0)
-            hits += 1
-        prev = tok
-    if not hits:
-        return 0.0
-    return min(1.0, max(-1.0, total / hits))
+def prefix_tree_pattern(words) -> str:
+    """A regular expression that matches exactly the given words, sharing
+    their common beginnings."""
+    root: dict = {}
+    for w in words:
+        node = root
+        for ch in w:
+            node = node.setdefault(ch, {})
+        node[""] = {}
+
+    def build(node: dict) -> str:
+        branches = [re.escape(ch) + build(node[ch]) for ch in sorted(node) if ch]
+        if not branches:
+            return ""
+        body = "(?:" + "|".join(branches) + ")"
+        return body + "?" if "" in node else body
+
+    return build(root)
 
 
 def lexicon_sentiment(clean: Column, lexicon, negators=None) -> Column:
+    """Mean signed polarity of a cleaned text (tokens separated by one space)."""
     lex = _lexicon_pairs(lexicon)
-    negs = frozenset(negators if negators is not None else DEFAULT_NEGATORS)
+    negs = [n for n in (negators if negators is not None else DEFAULT_NEGATORS) if n]
     if not lex:
         return F.lit(0.0)
+    text = F.coalesce(clean, F.lit(""))
+    word = f"({prefix_tree_pattern(lex)})(?![^ ])"
+    polarity = F.map_from_arrays(F.lit(list(lex)), F.lit([float(p) for p in lex.values()]))
 
-    @F.pandas_udf(T.DoubleType())
-    def _sentiment(texts: pd.Series) -> pd.Series:
-        return pd.Series([score_text(t, lex, negs) if isinstance(t, str) else 0.0 for t in texts],
-                         dtype="float64")
-
-    return _sentiment(clean)
-
+    def total(found: Column) -> Column:
+        return F.aggregate(F.transform(found, lambda w: F.element_at(polarity, w)), F.lit(0.0), lambda a, p: a + p)
 
-def lexicon_frame(spark, pairs) -> DataFrame:
-    return spark.createDataFrame(list(pairs), "word string, polarity double")
+    hits = F.regexp_extract_all(text, F.lit(f"(?<![^ ]){word}"), F.lit(1))
+    score = total(hits)
+    if negs:
+        behind = "|".join(f"(?<=(?<![^ ]){re.escape(n)} )" for n in negs)
+        negated = F.regexp_extract_all(text, F.lit(f"(?:{behind}){word}"), F.lit(1))
+        score = score + F.lit(NEGATION_FACTOR - 1.0) * total(negated)
+    n = F.size(hits)
+    return F.when(n > 0, F.greatest(F.lit(-1.0), F.least(F.lit(1.0), score / n))).otherwise(F.lit(0.0))

@@ -74,12 +74,6 @@ def weekly_series(filled: DataFrame, value_col: str = "mentions") -> DataFrame:
             .agg(F.sum(value_col).alias(value_col)))
 
 
-def weekly_indexed(weekly: DataFrame, value_col: str = "mentions") -> DataFrame:
-    """Adds 0-based week index ``t`` and count ``n_weeks`` per topic."""
-    w = Window.partitionBy("topic").orderBy("week_end")
-    return (weekly.withColumn("t", F.row_number().over(w) - 1)
-            .withColumn("n_weeks", F.count(F.lit(1)).over(Window.partitionBy("topic"))))
-
 
 def historical_weeks(weekly: DataFrame, value_col: str = "mentions", k: int = HISTORY_WEEKS) -> DataFrame:
     """Sum of the last (up to) k weeks per topic."""

@@ -77,11 +77,6 @@ def genome(axis: DataFrame, topic_summary: DataFrame, axes=None) -> DataFrame:
     return out.withColumn("genome_signature", signature([f"{n}_score" for n in names], names))
 
 
-def scenarios_frame(spark: SparkSession, scenarios=None) -> DataFrame:
-    rows = [(name, *w) for name, w in (scenarios or params.SCENARIOS)]
-    return spark.createDataFrame(rows, "scenario string, w_innovation double, w_tradition double, "
-                                       "w_wellness double, w_community double, w_expression double")
-
 
 def scenario_plan(multimodal: DataFrame, genome_df: DataFrame, scenarios=None) -> DataFrame:
     """J4 + P18: every topic under every scenario.  The scenario weights are a

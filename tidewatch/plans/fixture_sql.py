@@ -6,6 +6,7 @@ They mirror ``tidewatch.sources.tables`` and the parameter tables in
 
 from __future__ import annotations
 
+from tidewatch.functions.text import WHITE_SPACE
 from tidewatch.plans import params
 
 SIGNALS = """signals AS (
@@ -45,12 +46,12 @@ PIXELS = """pixels AS (
     FROM embeddings, range(1, 49) t(i))
   GROUP BY image, p)"""
 
-CLEAN = ("trim(regexp_replace(regexp_replace(regexp_replace(lower(coalesce({c}, '')), "
-         "'http\\S+', '', 'g'), '[^a-zA-Z\\s]', ' ', 'g'), '\\s+', ' ', 'g'))")
+_CLEAN = ("trim(regexp_replace(regexp_replace(regexp_replace(lower(coalesce(@c, '')), "
+          "'http[^@s]+', '', 'g'), '[^a-zA-Z@s]', '@p', 'g'), '[@s]+', ' ', 'g'))")
 
 
-def clean(col: str) -> str:
-    return CLEAN.format(c=col)
+def clean(col: str, punct: str = " ") -> str:
+    return _CLEAN.replace("@c", col).replace("@p", punct).replace("@s", WHITE_SPACE)
 
 
 def lexicon_cte() -> str:

@@ -16,15 +16,15 @@ from tidewatch.sources import tables
 SELECTED_TOPICS = ("click", "view")
 
 
-def _user_turns(spark, sf_dir):
-    return tables.read_table(spark, sf_dir, "conversations").where(F.col("role") == "user")
+def _turns(spark, sf_dir):
+    return tables.read_table(spark, sf_dir, "conversations")
 
 
 _TERMS_SQL = """terms0 AS (
   SELECT conv_id, turn, pos - 1 AS pos, trim(raw) AS term FROM (
     SELECT conv_id, turn, unnest(parts) AS raw, unnest(range(1, len(parts) + 1)) AS pos
     FROM (SELECT conv_id, turn, string_split(replace(coalesce(text, ''), chr(10), ','), ',') AS parts
-          FROM conversations WHERE role = 'user'))
+          FROM conversations))
   WHERE trim(raw) <> ''),
 terms AS (
   SELECT conv_id, turn, min(pos) AS pos, arg_min(term, pos) AS term
@@ -34,7 +34,7 @@ terms AS (
 @register("p29_parse_search_terms", "WITH " + _TERMS_SQL + """
 SELECT conv_id, turn, CAST(pos AS BIGINT) AS pos, term FROM terms""")
 def p29_parse_search_terms(spark, sf_dir):
-    return AD.parse_search_terms(_user_turns(spark, sf_dir), "text", ["conv_id", "turn"])
+    return AD.parse_search_terms(_turns(spark, sf_dir), "text", ["conv_id", "turn"])
 
 
 def _saved_sql() -> str:
@@ -49,7 +49,7 @@ both_sides AS (
 SELECT arg_min(name, (p, a, b, c)) AS name, arg_min(origin, (p, a, b, c)) AS origin
 FROM both_sides GROUP BY lower(name)""")
 def r5_search_then_saved_topics(spark, sf_dir):
-    search = AD.parse_search_terms(_user_turns(spark, sf_dir), "text", ["conv_id", "turn"]) \
+    search = AD.parse_search_terms(_turns(spark, sf_dir), "text", ["conv_id", "turn"]) \
         .select(F.col("term").alias("name"), F.col("conv_id").alias("a"), F.col("turn").alias("b"),
                 F.col("pos").alias("c"))
     saved = C.topics_frame(spark, params.FIXTURE_TOPICS).select(

@@ -39,11 +39,8 @@ def p1_clean_text(spark, sf_dir):
                     .otherwise(F.size(F.split("clean_text", " "))).alias("n_tokens"))
 
 
-@register("p1b_clean_text_compact", with_ctes(SIGNALS) + """
-SELECT source_item_id,
-       trim(regexp_replace(regexp_replace(regexp_replace(lower(coalesce(text, '')),
-            'http\\S+', '', 'g'), '[^a-zA-Z\\s]', '', 'g'), '\\s+', ' ', 'g')) AS clean_text
-FROM signals""")
+@register("p1b_clean_text_compact", with_ctes(SIGNALS) + f"""
+SELECT source_item_id, {clean('text', '')} AS clean_text FROM signals""")
 def p1b_clean_text_compact(spark, sf_dir):
     s = tables.signals(spark, sf_dir)
     return s.select("source_item_id", clean_text("text", punct="").alias("clean_text"))

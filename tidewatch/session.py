@@ -90,6 +90,12 @@ def ship_package(spark: SparkSession) -> None:
     sc._tidewatch_shipped = True
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether ``path`` exists, asked of the file system that its URI names."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return bool(p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p))
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path under the shared checkpoint folder for written tables."""
     root = checkpoint_root(spark)

@@ -10,18 +10,16 @@ DataFrame job; nothing is collected.
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidewatch.operators.joins import checked_broadcast
+from tidewatch.operators.joins import checked_broadcast, one_row
+from tidewatch.session import path_exists
 
 SIGNAL_COLUMNS = ("date", "source", "topic", "text", "engagement", "detail", "media_url",
                   "source_item_id", "modality_hint")
 AUDIO_FIELDS = ("danceability", "energy", "valence", "tempo", "acousticness",
                 "instrumentalness", "speechiness")
-MAX_TOPIC_TERMS = 100_000
 
 NEWS_SCHEMA = ("topic string, request_ordinal long, articles array<struct<title: string, "
                "description: string, publishedAt: string, url: string, urlToImage: string>>")
@@ -65,8 +63,15 @@ def news_signals(spark: SparkSession, path: str, multi_line: bool = False) -> Da
 
 
 def audio_feature_lookup(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
-    """Id-keyed features; null items dropped; the last duplicate wins."""
-    raw = spark.read.schema(AUDIO_SCHEMA).option("multiLine", multi_line).json(path)
+    """Id-keyed features; null items dropped; the last duplicate wins.
+
+    A landed batch that failed (a document with an ``error``, or one that is
+    not valid JSON) empties the whole lookup.
+    """
+    raw = (spark.read.schema(AUDIO_SCHEMA + ", error string, _corrupt string")
+           .option("columnNameOfCorruptRecord", "_corrupt").option("multiLine", multi_line).json(path))
+    failed = raw.agg(F.max((F.col("error").isNotNull() | F.col("_corrupt").isNotNull()).cast("int")).alias("_failed"))
+    raw = raw.join(one_row(failed), on=F.coalesce(F.col("_failed"), F.lit(0)) == 0)
     items = (raw.select(F.coalesce("request_ordinal", F.lit(0)).alias("_req"),
                         F.posexplode("audio_features").alias("_pos", "f"))
              .where(F.col("f").isNotNull() & (F.coalesce(F.col("f.id"), F.lit("")) != "")))
@@ -99,30 +104,38 @@ def track_signals(spark: SparkSession, path: str, features_path: str | None = No
     return _signals(out)
 
 
-def post_signals(spark: SparkSession, path: str, max_posts_per_topic: int = 18,
+def post_signals(spark: SparkSession, path: str, max_posts_per_topic: int | None = None,
                  source: str = "Reddit", multi_line: bool = False) -> DataFrame:
-    """Posts; first-wins dedup by id across all requests; soft per-topic cap.
-
-    The cap is checked after each request: a request is kept while the
-    topic's kept rows before it are below the cap (so the last one may
-    overshoot).  Requests are ordered by ``request_ordinal``.
+    """Posts; the first sighting of an id over all requests wins.
+
+    Requests are ordered by ``request_ordinal`` (missing ones last, then by
+    topic and file), posts by their position.  All landed posts are kept;
+    ``max_posts_per_topic`` is an opt-in that replays a collector's budget: a
+    request counts while the topic's new posts before it are below the
+    budget (so the last one may overshoot), and only posts of such requests
+    compete for the first sighting.
     """
     raw = spark.read.schema(POSTS_SCHEMA).option("multiLine", multi_line).json(path)
-    p = (raw.select("topic", "request_ordinal", F.posexplode("data.children").alias("_pos", "c"))
-         .select("topic", "request_ordinal", "_pos", F.col("c.data").alias("d"))
-         .where(F.coalesce(F.col("d.id"), F.lit("")) != ""))
-    # first occurrence per id: a per-id aggregate (ids are high-cardinality, no hot key)
-    first = p.groupBy(F.col("d.id").alias("_id")).agg(
-        F.min(F.struct("request_ordinal", "_pos")).alias("_first"))
-    kept = (p.join(first, (p.d.id == first._id)
-                   & (F.struct(p.request_ordinal, p._pos) == first._first), "left_semi"))
-    # soft cap per topic, decided per request on the (topic, request) count table
-    per_req = kept.groupBy("topic", "request_ordinal").agg(F.count(F.lit(1)).alias("_n"))
-    w = Window.partitionBy("topic").orderBy("request_ordinal") \
-        .rowsBetween(Window.unboundedPreceding, -1)
-    allowed = (per_req.withColumn("_before", F.coalesce(F.sum("_n").over(w), F.lit(0)))
-               .where(F.col("_before") < max_posts_per_topic).select("topic", "request_ordinal"))
-    kept = kept.join(checked_broadcast(allowed), ["topic", "request_ordinal"], "left_semi")
+    request = F.struct(F.coalesce("request_ordinal", F.lit((1 << 62))).alias("o"),
+                       F.coalesce("topic", F.lit("")).alias("t"), F.col("_metadata.file_path").alias("f"),
+                       F.col("_metadata.file_block_start").alias("b"))
+    p = (raw.select("topic", request.alias("_req"), F.posexplode("data.children").alias("_pos", "c"))
+         .select("topic", "_req", "_pos", F.col("c.data").alias("d"))
+         .where(F.coalesce(F.col("d.id"), F.lit("")) != "")
+         .withColumn("_id", F.col("d.id")))
+    # a file may hold several requests: the id ends the order, rows equal in all of it are one sighting
+    order = F.struct("_req", "_pos")
+    if max_posts_per_topic is not None:
+        # first sightings per (topic, request), then the running sum of each topic
+        per_req = (p.groupBy("_id").agg(F.min(order).alias("_o"), F.min_by("topic", order).alias("topic"))
+                   .groupBy("topic", F.col("_o._req").alias("_req")).agg(F.count(F.lit(1)).alias("_n")))
+        every = p.select("topic", "_req").distinct().join(per_req, ["topic", "_req"], "left")
+        w = Window.partitionBy("topic").orderBy("_req").rowsBetween(Window.unboundedPreceding, -1)
+        allowed = (every.withColumn("_before", F.coalesce(F.sum(F.coalesce("_n", F.lit(0))).over(w), F.lit(0)))
+                   .where(F.col("_before") < max_posts_per_topic)
+                   .select(F.col("topic").alias("_t"), F.col("_req").alias("_r")))
+        p = p.join(allowed, p.topic.eqNullSafe(allowed._t) & (p._req == allowed._r), "left_semi")
+    kept = p.groupBy("_id").agg(F.min_by(F.struct("topic", "d"), order).alias("_first")).select("_first.*")
     thumb = _s(F.col("d.thumbnail"))
     return _signals(kept.select(
         F.to_date(F.timestamp_seconds(F.coalesce(F.col("d.created_utc"), F.lit(0.0)))).alias("date"),
@@ -137,7 +150,7 @@ def post_signals(spark: SparkSession, path: str, max_posts_per_topic: int = 18,
 
 def community_signals(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
     """Community listings where the community name is the topic."""
-    return post_signals(spark, path, max_posts_per_topic=1 << 30, multi_line=multi_line)
+    return post_signals(spark, path, multi_line=multi_line)
 
 
 # --- S8: topic matcher -----------------------------------------------------------
@@ -155,25 +168,22 @@ def match_topic(text: Column, topics: DataFrame) -> Column:
     """Case-insensitive substring match of any topic term; the first topic in
     configuration order wins; null when nothing matches.
 
-    The term table is configuration (size-checked) and is embedded in the
-    expression, so matching is a per-row projection without any join.
+    The terms are one literal array of the configuration, scanned per row; no
+    join, and the expression does not grow with their number.
     """
-    rows = topic_terms(topics).limit(MAX_TOPIC_TERMS + 1).collect()
-    if len(rows) > MAX_TOPIC_TERMS:
-        raise ValueError("too many topic terms to embed")
+    rows = topic_terms(topics).orderBy("topic_ordinal", "term").collect()   # configuration
     if not rows:
         return F.lit(None).cast("string")
     low = F.lower(F.coalesce(text, F.lit("")))
-    cands = [F.when(low.contains(F.lit(r["term"])),
-                    F.struct(F.lit(r["topic_ordinal"]).alias("o"), F.lit(r["topic"]).alias("t")))
-             for r in rows]
-    best = F.array_min(F.array_compact(F.array(*cands)))
-    return best["t"]
+    terms = F.lit([r["term"] for r in rows])
+    names = F.lit([r["topic"] for r in rows])
+    at = F.array_position(F.transform(terms, lambda t: F.contains(low, t)), F.lit(True))
+    return F.when(at > 0, F.element_at(names, at.cast("int")))
 
 
 def x_csv_signals(spark: SparkSession, path: str, topics: DataFrame) -> DataFrame:
     """Post CSV export with alternate column names."""
-    if not os.path.exists(path):
+    if not path_exists(spark, path):
         raise FileNotFoundError(f"post CSV not found at {path}")
     raw = spark.read.option("header", True).option("multiLine", True).option("escape", '"').csv(path)
     cols = set(raw.columns)
@@ -204,15 +214,14 @@ def x_csv_signals(spark: SparkSession, path: str, topics: DataFrame) -> DataFram
 def x_api_signals(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
     """Posts with media resolved through the first attached media key."""
     raw = spark.read.schema(XAPI_SCHEMA).option("multiLine", multi_line).json(path)
-    media = (raw.select("request_ordinal", F.explode("includes.media").alias("m"))
-             .select("request_ordinal", F.col("m.media_key").alias("_mk"),
-                     F.coalesce(F.nullif(F.col("m.url"), F.lit("")), F.col("m.preview_image_url"))
-                     .alias("_murl"))
-             .where((F.coalesce("_mk", F.lit("")) != "") & (F.coalesce("_murl", F.lit("")) != "")))
-    media = media.groupBy("request_ordinal", "_mk").agg(F.max_by("_murl", F.lit(1)).alias("_murl"))
-    posts = raw.select("topic", "request_ordinal", F.explode("data").alias("p"))
-    posts = posts.withColumn("_mk", F.try_element_at(F.col("p.attachments.media_keys"), F.lit(1)))
-    j = posts.join(media, ["request_ordinal", "_mk"], "left")
+    # each document resolves its own media: the last entry of a key that has a url wins
+    named = F.filter("includes.media", lambda m: (F.coalesce(m["media_key"], F.lit("")) != "")
+                     & (F.coalesce(m["url"], m["preview_image_url"], F.lit("")) != ""))
+    posts = raw.select("topic", F.coalesce(named, F.array().cast(raw.schema["includes"].dataType["media"].dataType))
+                       .alias("_media"), F.explode("data").alias("p"))
+    key = F.try_element_at(F.col("p.attachments.media_keys"), F.lit(1))
+    hit = F.try_element_at(F.filter("_media", lambda m: m["media_key"] == key), F.lit(-1))
+    j = posts.withColumn("_murl", F.coalesce(hit["url"], hit["preview_image_url"]))
     m = F.col("p.public_metrics")
     eng = sum((F.coalesce(m[k], F.lit(0.0)) for k in ("like_count", "retweet_count", "reply_count",
                                                        "quote_count")), F.lit(0.0))
@@ -261,7 +270,5 @@ def append_harvest_log(spark: SparkSession, path: str, batch_id: int, mode: str,
     row = spark.createDataFrame([(batch_id + 1, mode, top_topic, method)],
                                 "iteration long, mode string, top_topic string, topic_model_method string")
     row = row.withColumn("captured_at_utc", F.current_timestamp())
-    (row.write.mode("overwrite").partitionBy("iteration").parquet(path)
-     if not os.path.exists(path) else
-     row.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    (row.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy("iteration").parquet(path))
