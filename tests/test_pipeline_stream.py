@@ -70,3 +70,43 @@ def test_continuous_rescoring_log(spark):
     batch = SC.topic_scores(SC.source_summary(SC.prepare_records(
         tables.mentions(spark, SF).withColumn("text", F.lit("")))))
     assert log[-1]["top_topic"] == batch.first()["topic"]
+
+
+def _days(spark, path, lo, hi, ids="event_id >= 0"):
+    (tables.read_table(spark, SF, "events").where((F.dayofmonth("ts") >= lo) & (F.dayofmonth("ts") < hi)).where(ids)
+     .coalesce(1).write.mode("append").parquet(path))
+
+
+def test_a_stopped_stream_resumes_in_its_folder(spark):
+    base = tempfile.mkdtemp(prefix="tidewatch-resume-")
+    landed = base + "/landed"
+    _days(spark, landed, 1, 8)
+    first = ST.continuous_rescoring(spark, landed, base=base + "/run")
+    assert [r["iteration"] for r in first.orderBy("iteration").collect()] == [1]
+    for lo in (8, 12, 16, 20):
+        _days(spark, landed, lo, lo + 4)
+    log = ST.continuous_rescoring(spark, landed, base=base + "/run").orderBy("iteration").collect()
+    assert [r["iteration"] for r in log] == [1, 2, 3, 4, 5]
+    seen = tables.read_table(spark, SF, "events").where(F.dayofmonth("ts") < 24).count()
+    assert log[-1]["mentions_seen"] == seen
+    assert len([d for d in os.listdir(base + "/run/state") if d.startswith("batch_id=")]) == 3
+
+
+def test_late_rows_are_dropped_and_repeats_count_once(spark):
+    base = tempfile.mkdtemp(prefix="tidewatch-late-")
+    landed = base + "/landed"
+    _days(spark, landed, 1, 8)
+    _days(spark, landed, 8, 10, "event_id % 2 = 0")
+    _days(spark, landed, 8, 10, "event_id % 2 = 0")     # the same rows once more
+    _days(spark, landed, 1, 3)                           # late: the watermark is at day 8
+    _days(spark, landed, 20, 21)
+    s = ST.mention_stream(spark, landed, max_files_per_trigger=1)
+    days = {}
+    for r in ST.run_append(spark, ST.daily_counts(s, "1 day"), "late", base + "/daily").collect():
+        days[r["day"].day] = days.get(r["day"].day, 0) + r["mentions"]
+    ev = tables.read_table(spark, SF, "events").groupBy(F.dayofmonth("ts").alias("d")).agg(
+        F.count("*").alias("n"), F.count_if(F.col("event_id") % 2 == 0).alias("even")).collect()
+    want = {r["d"]: r["n"] for r in ev if r["d"] < 8} | {r["d"]: 2 * r["even"] for r in ev if r["d"] in (8, 9)}
+    assert {d: n for d, n in days.items() if d < 10} == want
+    kept = ST.run_append(spark, ST.dedup_ids(s, "2 days"), "dedup", base + "/dedup")
+    assert kept.groupBy("event_id").count().where("count > 1").count() == 0

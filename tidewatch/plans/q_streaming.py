@@ -13,10 +13,11 @@ from tidewatch.sources import tables
 from tidewatch.streaming import mentions as ST
 
 
-def landed_events(spark, sf_dir) -> str:
+def landed_events(spark, sf_dir, repeats: bool = False) -> str:
     """The events table landed as one file per calendar week, appended in
     event-time order (as a harvester would), so the stream sees several
-    batches arriving in order.
+    batches arriving in order.  With ``repeats`` every third event of a week
+    is landed a second time in the same week.
 
     One pass writes a week-partitioned staging table; each week is then
     appended from its own partition (partition pruning), so landing costs two
@@ -30,36 +31,47 @@ def landed_events(spark, sf_dir) -> str:
     staged = spark.read.parquet(staging)
     weeks = [r["week"] for r in staged.select("week").distinct().orderBy("week").collect()]  # calendar-bounded
     for wk in weeks:
-        (staged.where(F.col("week") == F.lit(wk)).drop("week").coalesce(1)
-         .write.mode("append").parquet(path))
+        week = staged.where(F.col("week") == F.lit(wk)).drop("week")
+        if repeats:
+            week = week.unionByName(week.where("event_id % 3 = 0"))
+        week.write.mode("append").parquet(path)
     return path
 
 
-@register("t4_stream_daily_counts", with_ctes(MENTIONS) + """
+# The weeks' files arrive in order, the events of a week in any order: a week
+# and a day of lateness are waited for.  In append mode a window is emitted
+# when the watermark (last event minus LATENESS) has passed its end.
+LATENESS = "8 days"
+_PASSED = "<= (SELECT max(ts) - INTERVAL 8 DAY FROM events)"
+
+
+def _stream(spark, sf_dir, repeats=False):
+    return ST.mention_stream(spark, landed_events(spark, sf_dir, repeats), max_files_per_trigger=1)
+
+
+@register("t4_stream_daily_counts", with_ctes(MENTIONS) + f"""
 SELECT topic, CAST(date AS DATE) AS day, CAST(count(*) AS BIGINT) AS mentions,
        round(sum(engagement), 6) AS engagement
-FROM mentions GROUP BY 1, 2""")
+FROM mentions WHERE date + INTERVAL 1 DAY {_PASSED} GROUP BY 1, 2""")
 def t4_stream_daily_counts(spark, sf_dir):
-    s = ST.mention_stream(spark, landed_events(spark, sf_dir), max_files_per_trigger=1)
-    return ST.run_complete(spark, ST.daily_counts(s), "t4")
+    return ST.run_append(spark, ST.daily_counts(_stream(spark, sf_dir), LATENESS), "t4")
 
 
-@register("t5_stream_trailing_week", with_ctes(MENTIONS) + """
+@register("t5_stream_trailing_week", with_ctes(MENTIONS) + f"""
 SELECT topic, CAST(CAST(date AS DATE) - CAST(k AS INTEGER) AS DATE) AS window_start,
        CAST(count(*) AS BIGINT) AS mentions
-FROM mentions, range(0, 7) t(k) GROUP BY 1, 2""")
+FROM mentions, range(0, 7) t(k)
+WHERE CAST(date AS DATE) - CAST(k AS INTEGER) + INTERVAL 7 DAY {_PASSED} GROUP BY 1, 2""")
 def t5_stream_trailing_week(spark, sf_dir):
-    s = ST.mention_stream(spark, landed_events(spark, sf_dir), max_files_per_trigger=1)
-    return ST.run_complete(spark, ST.trailing_week_counts(s), "t5")
+    return ST.run_append(spark, ST.trailing_week_counts(_stream(spark, sf_dir), LATENESS), "t5")
 
 
-@register("t6_stream_weekly_counts", with_ctes(MENTIONS) + """
+@register("t6_stream_weekly_counts", with_ctes(MENTIONS) + f"""
 SELECT topic, CAST(date_trunc('week', CAST(date AS DATE)) AS DATE) AS week_start,
        CAST(count(*) AS BIGINT) AS mentions
-FROM mentions GROUP BY 1, 2""")
+FROM mentions WHERE date_trunc('week', CAST(date AS DATE)) + INTERVAL 7 DAY {_PASSED} GROUP BY 1, 2""")
 def t6_stream_weekly_counts(spark, sf_dir):
-    s = ST.mention_stream(spark, landed_events(spark, sf_dir), max_files_per_trigger=1)
-    return ST.run_complete(spark, ST.weekly_counts(s), "t6")
+    return ST.run_append(spark, ST.weekly_counts(_stream(spark, sf_dir), LATENESS), "t6")
 
 
 @register("t7_stream_source_totals", with_ctes(MENTIONS) + """
@@ -67,15 +79,14 @@ SELECT topic, source, CAST(count(*) AS BIGINT) AS mention_count,
        round(sum(engagement), 6) AS total_engagement_raw
 FROM mentions GROUP BY 1, 2""")
 def t7_stream_source_totals(spark, sf_dir):
-    s = ST.mention_stream(spark, landed_events(spark, sf_dir), max_files_per_trigger=1)
-    return ST.run_complete(spark, ST.source_totals(s), "t7")
+    return ST.run_complete(spark, ST.source_totals(_stream(spark, sf_dir)), "t7")
 
 
 @register("t3_stream_dedup_ids", with_ctes(MENTIONS) + """
 SELECT topic, CAST(count(DISTINCT event_id) AS BIGINT) AS mentions FROM mentions GROUP BY topic""")
 def t3_stream_dedup_ids(spark, sf_dir):
-    s = ST.mention_stream(spark, landed_events(spark, sf_dir), max_files_per_trigger=1)
-    kept = ST.run_append(spark, ST.dedup_ids(s), "t3")
+    """A third of the events lands twice; each id is counted once."""
+    kept = ST.run_append(spark, ST.dedup_ids(_stream(spark, sf_dir, repeats=True), LATENESS), "t3")
     return kept.groupBy("topic").agg(F.count(F.lit(1)).alias("mentions"))
 
 

@@ -5,14 +5,16 @@ mention timestamp cast to TIMESTAMP (session time zone UTC; watermarks reject
 TIMESTAMP_NTZ).  Sinks are ``foreachBatch`` writers into the shared
 checkpoint folder: complete-mode results overwrite their table (idempotent on
 replay), append-mode results are written per batch id (a replayed batch
-overwrites its own partition).  State lives in the stream checkpoint, so a
-lost executor or a restarted driver resumes where it stopped.
+overwrites its own partition).  State lives in the stream checkpoint.  A
+restarted driver resumes where it stopped if it is given the same ``base``
+folder; without one, a run gets a fresh folder of its own.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidewatch.operators import scoring as SC
 from tidewatch.session import scratch_path
@@ -74,11 +76,11 @@ def dedup_ids(stream: DataFrame, watermark: str = "1 day") -> DataFrame:
 
 # --- running a stream to completion into a table --------------------------------
 
-def run_complete(spark: SparkSession, result: DataFrame, name: str) -> DataFrame:
+def run_complete(spark: SparkSession, result: DataFrame, name: str, base: str | None = None) -> DataFrame:
     """Run a streaming aggregate (complete mode) over everything available and
     return the table it maintains."""
-    out = scratch_path(spark, f"{name}-table")
-    ckpt = scratch_path(spark, f"{name}-ckpt")
+    base = base or scratch_path(spark, name)
+    out, ckpt = f"{base}/table", f"{base}/checkpoint"
 
     def write(batch: DataFrame, batch_id: int) -> None:
         batch.write.mode("overwrite").parquet(out)
@@ -89,10 +91,13 @@ def run_complete(spark: SparkSession, result: DataFrame, name: str) -> DataFrame
     return spark.read.parquet(out)
 
 
-def run_append(spark: SparkSession, result: DataFrame, name: str) -> DataFrame:
-    """Run an append-mode stream; each batch lands in its own batch-id partition."""
-    out = scratch_path(spark, f"{name}-table")
-    ckpt = scratch_path(spark, f"{name}-ckpt")
+def run_append(spark: SparkSession, result: DataFrame, name: str, base: str | None = None) -> DataFrame:
+    """Run an append-mode stream; each batch lands in its own batch-id partition.
+
+    A window is emitted once, when the watermark has passed its end; rows of
+    windows that the watermark has passed are late and dropped."""
+    base = base or scratch_path(spark, name)
+    out, ckpt = f"{base}/table", f"{base}/checkpoint"
 
     def write(batch: DataFrame, batch_id: int) -> None:
         (batch.withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite")
@@ -101,24 +106,24 @@ def run_append(spark: SparkSession, result: DataFrame, name: str) -> DataFrame:
     q = (result.writeStream.outputMode("append").foreachBatch(write)
          .option("checkpointLocation", ckpt).trigger(availableNow=True).start())
     q.awaitTermination()
-    return spark.read.parquet(out).drop("batch_id")
+    schema = T.StructType([*result.schema.fields, T.StructField("batch_id", T.IntegerType())])
+    return spark.read.schema(schema).parquet(out).drop("batch_id")
 
 
 # --- T1 / T2: continuous re-scoring with a harvest log ---------------------------
 
 def continuous_rescoring(spark: SparkSession, landed_path: str, name: str = "rescoring",
-                         max_files_per_trigger: int = 1) -> DataFrame:
+                         max_files_per_trigger: int = 1, base: str | None = None) -> DataFrame:
     """T1 + T2: re-score all topics on every micro-batch.
 
     The running state is the (topic, source) partial table (counts, sums,
     maxima), so each batch costs its own rows plus a table bounded by
     topics x sources, however long the stream has run.  State versions and
     log rows are keyed by batch id: a replayed batch rewrites its own version
-    and its own log row.
+    and its own log row; versions that no replay can need are deleted.
     """
-    state = scratch_path(spark, f"{name}-state")
-    log = scratch_path(spark, f"{name}-log")
-    ckpt = scratch_path(spark, f"{name}-ckpt")
+    base = base or scratch_path(spark, name)
+    state, log, ckpt = f"{base}/state", f"{base}/log", f"{base}/checkpoint"
     stream = mention_stream(spark, landed_path, max_files_per_trigger)
 
     def score(batch: DataFrame, batch_id: int) -> None:
@@ -139,6 +144,9 @@ def continuous_rescoring(spark: SparkSession, landed_path: str, name: str = "res
                          F.col("mentions_seen").cast("bigint").alias("mentions_seen"))
         (row.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy("iteration").parquet(log))
+        if batch_id > 2:   # only the last batch can be replayed, from the version before it
+            old = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{state}/batch_id={batch_id - 3}")
+            old.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(old, True)
 
     q = (stream.writeStream.foreachBatch(score).option("checkpointLocation", ckpt)
          .trigger(availableNow=True).start())
