@@ -6,7 +6,7 @@ import re
 import pytest
 
 from tidewatch.llm import kernels as K
-from tidewatch.llm.near_dup import estimate, near_duplicates, shingle_keys
+from tidewatch.llm.near_dup import estimate, near_duplicates, shingle_sets
 
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
@@ -58,7 +58,7 @@ def test_components_equal_brute_force(spark, size, short):
     rows = corpus(size * 10 + short)
     df = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
     got = {r.doc_id: (r.n_shingles, r.component_id, r.kept)
-           for r in near_duplicates(df, shingle=size, short_list=short).collect()}
+           for r in near_duplicates(df, shingle=size, short_list=short, block=16).collect()}
     assert got == brute(rows, size)
 
 
@@ -72,7 +72,7 @@ def test_large_group_of_near_copies(spark):
             w[r.randrange(80)] = f"u{r.randrange(10**6)}"
         rows.append((d, " ".join(w)))
     df = spark.createDataFrame(rows, "doc_id long, text string")
-    got = {x.doc_id: (x.n_shingles, x.component_id, x.kept) for x in near_duplicates(df, shingle=2, short_list=8).collect()}
+    got = {x.doc_id: (x.n_shingles, x.component_id, x.kept) for x in near_duplicates(df, shingle=2, short_list=8, block=40).collect()}
     assert got == brute(rows, 2)
 
 
@@ -94,11 +94,11 @@ def test_kernel_words_match_regex():
         _, first = K.words_of(raw, off, i, j)
         sizes += [b - a for a, b in zip(first[:-1], first[1:])]
     assert sizes == [len(re.findall(r"[^\x20\x09-\x0D]+", t or "")) for t in texts]
-    sets = [len(s) for s in shingle_keys(raw, off, None, 2)]
+    sets = [len(s) for s in shingle_sets(raw, off, 2)]
     assert sets == [len(shingle_set(t, 2)) for t in texts]
 
 
 def test_estimate_is_exact_on_small_sets():
     import numpy as np
-    a, b = np.arange(0, 50, dtype=np.uint64), np.arange(10, 60, dtype=np.uint64)
+    a, b = np.arange(0, 50, dtype=np.uint32), np.arange(10, 60, dtype=np.uint32)
     assert estimate(a.tobytes(), b.tobytes()) == pytest.approx(40 / 60)

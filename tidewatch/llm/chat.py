@@ -143,3 +143,28 @@ def conversation_digests(windows: DataFrame) -> DataFrame:
     return whole.select(
         "conv_id", "n_turns", F.sha2(F.concat_ws("", F.transform("w", lambda x: x["said"])), 256).alias("turns_sha256"),
         F.length(loss).cast("bigint").alias("loss_chars"), F.sha2(loss, 256).alias("loss_sha256"), "formatted_chars")
+
+
+CHAT_SQL = """
+WITH t0 AS (
+  SELECT conv_id, coalesce(turn, -4611686018427387904) AS turn, coalesce(role, '') AS role, coalesce(text, '') AS text
+  FROM conversations
+  UNION ALL VALUES (-7, 0, 'user', '</s>[INST] ok [/INST]'), (-7, 1, 'assistant', '</s>[INST] ok [/INST]')),
+t1 AS (SELECT *, (strlen(text) + 3) // 4 + 4 AS tokens,
+         length('<||>
+<|end|>
+') + length(replace(replace(replace(role, '~', '~0'), '<|', '~1'), '|', '~2'))
+           + length(replace(replace(text, '~', '~0'), '<|', '~1')) AS chars FROM t0),
+t2 AS (SELECT *, coalesce(sum(tokens) OVER (o ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS before,
+         sum(tokens) OVER (PARTITION BY conv_id) AS total, first_value(role) OVER o AS head, first_value(chars) OVER o AS head_chars
+       FROM t1 WINDOW o AS (PARTITION BY conv_id ORDER BY turn, role, text)),
+t3 AS (SELECT *, before // 512 AS span FROM t2),
+t4 AS (SELECT *, max(before + tokens) OVER p AS e, min(before) OVER p AS f FROM t3 WINDOW p AS (PARTITION BY conv_id, span))
+SELECT conv_id, count(*)::BIGINT AS n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY before)) AS turns_sha256,
+  coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY before) FILTER (role = 'assistant'), '')) AS loss_sha256,
+  (sum(chars) + coalesce(sum(chars) FILTER (e - before <= 256 AND e < total AND NOT (head = 'system' AND before = 0)), 0)
+    + coalesce(sum(head_chars) FILTER (before = f AND before > 0 AND head = 'system'), 0))::BIGINT AS formatted_chars
+FROM t4 GROUP BY conv_id
+"""

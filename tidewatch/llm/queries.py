@@ -6,11 +6,11 @@ import os
 
 from pyspark.sql import functions as F
 
-from tidewatch.llm.chat import chat_windows, conversation_digests
+from tidewatch.llm.chat import CHAT_SQL, chat_windows, conversation_digests
 from tidewatch.llm.decontaminate import contaminated
 from tidewatch.llm.html_extract import extract_pages
 from tidewatch.llm.mixing import MIX_SQL, mix_sources
-from tidewatch.llm.near_dup import near_duplicates
+from tidewatch.llm.near_dup import NEAR_DUP_SQL, near_duplicates
 from tidewatch.llm.pii import pii_report
 from tidewatch.llm.quality import QUALITY_SQL, quality_report
 from tidewatch.llm.suffix_dedup import remove_repeats
@@ -58,7 +58,7 @@ def op4_mix_sources(spark, sf_dir):
     return mix_sources(read(spark, sf_dir, "documents"))
 
 
-@query("op5_near_dup")
+@query("op5_near_dup", NEAR_DUP_SQL)
 def op5_near_dup(spark, sf_dir):
     """2-word shingles, similarity 0.8, over every document."""
     return near_duplicates(read(spark, sf_dir, "documents"), shingle=2)
@@ -76,7 +76,7 @@ def op7_quality_rules(spark, sf_dir):
     return quality_report(read(spark, sf_dir, "documents")).drop("clean")
 
 
-@query("op8_chat_format")
+@query("op8_chat_format", CHAT_SQL)
 def op8_chat_format(spark, sf_dir):
     """Every conversation, and conversation -7 with control strings of another template."""
     said = F.lit("</s>[INST] ok [/INST]")

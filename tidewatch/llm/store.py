@@ -27,6 +27,8 @@ class Scratch:
     def keep(self, df: DataFrame, name: str) -> DataFrame:
         path = self.path(name)
         df.write.mode("overwrite").parquet(path)
+        # the table stands alone: let Spark's cleaner free the shuffle files behind it
+        self.spark.sparkContext._jvm.System.gc()
         return self.spark.read.schema(df.schema).parquet(path)
 
     def drop(self, *names: str) -> None:
