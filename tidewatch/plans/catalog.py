@@ -14,6 +14,7 @@ _MODULES = (
     "tidewatch.plans.q_network",
     "tidewatch.plans.q_fusion",
     "tidewatch.plans.q_ingest",
+    "tidewatch.plans.q_connectors",
     "tidewatch.plans.q_adhoc",
     "tidewatch.plans.q_streaming",
     "tidewatch.plans.q_topics",
