@@ -98,11 +98,18 @@ def word_bounds(buf: np.ndarray, off: np.ndarray, breaks: np.ndarray = SPACE) ->
     return starts, ends
 
 
-def span_hashes(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray, lower: bool = True) -> np.ndarray:
-    """A 64-bit hash of the bytes of each span."""
+def prefix_sums(buf: np.ndarray, lower: bool = False) -> tuple[np.ndarray, np.ndarray]:
+    """Sums ``t`` and inverse powers ``v``: bytes a..b-1 hash to
+    ``mix((t[b] - t[a]) * v[a])``, wherever they stand."""
     pw, inv = powers(len(buf))
     total = np.zeros(len(buf) + 1, dtype=np.uint64)
     np.cumsum(_byte_values(lower)[buf] * pw[:len(buf)], out=total[1:])
+    return total, inv
+
+
+def span_hashes(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray, lower: bool = True) -> np.ndarray:
+    """A 64-bit hash of the bytes of each span."""
+    total, inv = prefix_sums(buf, lower)
     return mix((total[ends] - total[starts]) * inv[starts])
 
 

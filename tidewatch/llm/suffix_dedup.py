@@ -53,7 +53,7 @@ from tidewatch.llm.store import Scratch
 LENGTH = 100
 GRAM = 32
 HOT = 2000
-TRANSFORM_BYTES = 1 << 21
+TRANSFORM_BYTES = 1 << 20
 _POS = np.uint64((1 << 24) - 1)
 
 
@@ -68,15 +68,13 @@ def _window_min(x: np.ndarray, w: int) -> np.ndarray:
 
 
 def segments(buf: np.ndarray, off: np.ndarray, length: int = LENGTH, gram: int = GRAM):
-    """(document, start, end, anchor hash, digest) of the segments of each
+    """(document, start, size, anchor hash, digest) of the segments of each
     document in ``buf`` (documents are buf[off[d]:off[d + 1]])."""
     n = len(buf)
     none = np.zeros(0, dtype=np.int64)
     if n < length:
         return none, none, none, none, none
-    pw, inv = K.powers(n)
-    total = np.zeros(n + 1, dtype=np.uint64)
-    np.cumsum(K._byte_values(False)[buf] * pw[:n], out=total[1:])
+    total, inv = K.prefix_sums(buf)
     grams = K.mix((total[gram:] - total[:-gram]) * inv[:n - gram + 1])
     if n <= int(_POS):
         low = _window_min((grams & ~_POS) | np.arange(len(grams), dtype=np.uint64), length - gram + 1)
@@ -105,7 +103,7 @@ def segments(buf: np.ndarray, off: np.ndarray, length: int = LENGTH, gram: int =
     b = np.append(a[1:], len(start)) - 1
     s0, s1, where = start[a], start[b] + length, doc[a]
     digest = K.mix((total[s1] - total[s0]) * inv[s0] + (s1 - s0).astype(np.uint64))
-    return where, s0 - off[where], s1 - off[where], grams[own[a]].view(np.int64), digest.view(np.int64)
+    return where, s0 - off[where], s1 - s0, (grams[own[a]] >> np.uint64(16)).view(np.int64), digest.view(np.int64)
 
 
 def _anchor_rows(length: int, gram: int, full: bool):
@@ -114,11 +112,11 @@ def _anchor_rows(length: int, gram: int, full: bool):
             ids = batch.column(0).to_numpy(zero_copy_only=False)
             raw, off = K.text_buffers(batch.column(1))
             for i, j in K.slices(off):
-                doc, s0, s1, h, d = segments(raw[off[i]:off[j]], off[i:j + 1] - off[i], length, gram)
+                doc, s0, size, h, d = segments(raw[off[i]:off[j]], off[i:j + 1] - off[i], length, gram)
                 if full:
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(h), pa.array(d), pa.array(ids[i + doc], pa.int64()),
-                         pa.array(s0, pa.int32()), pa.array(s1, pa.int32())], ["h", "d", "doc_id", "s0", "s1"])
+                         pa.array(s0, pa.int32()), pa.array(size, pa.int16())], ["h", "d", "doc_id", "s0", "n"])
                 else:
                     u, c = np.unique(h, return_counts=True)
                     yield pa.RecordBatch.from_arrays([pa.array(u), pa.array(c, pa.int64())], ["h", "c"])
@@ -142,8 +140,12 @@ def rotation_order(text: np.ndarray, depth: int) -> np.ndarray:
             return order
         rank = np.empty(n, dtype=np.uint64)
         rank[order] = step
-        key = rank * np.uint64(n) + np.roll(rank, -done)
-        done *= 2
+        # the ranks of the following stretches: two more if three fit 64 bits
+        stretches = 3 if n < 1 << 21 else 2
+        key = rank.copy()
+        for k in range(1, stretches):
+            key = key * np.uint64(n) + np.roll(rank, -done * k)
+        done *= stretches
 
 
 def long_prefix_classes(text: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
@@ -224,26 +226,54 @@ def _runs(doc: np.ndarray, start: np.ndarray, length: int) -> pa.RecordBatch:
          pa.array(start[last] + length, pa.int32())], ["doc_id", "a", "b"])
 
 
-def _expand(length: int):
+def _may_repeat(parts: list[bytes], hashes: np.ndarray, length: int, gram: int) -> np.ndarray:
+    """Which segments can share a string with another one of their anchor: a
+    string reaches half of its remaining bytes to the left or to the right of
+    the anchor, so one of these two stretches has to come twice."""
+    half = (length - gram + 1) // 2
+    sizes = np.array([len(p) for p in parts], dtype=np.int64)
+    begin = np.cumsum(sizes) - sizes
+    buf = np.frombuffer(b"".join(parts), dtype=np.uint8)
+    total, inv = K.prefix_sums(buf)
+    grams = (K.mix((total[gram:] - total[:-gram]) * inv[:len(buf) - gram + 1]) >> np.uint64(16)).view(np.int64)
+    owner = np.repeat(np.arange(len(parts)), sizes)[:len(grams)]
+    at = np.flatnonzero(grams == hashes[owner])
+    at = at[at + gram <= (begin + sizes)[owner[at]]]
+    which, first = np.unique(owner[at], return_index=True)
+    anchor = np.zeros(len(parts), dtype=np.int64)
+    anchor[which] = at[first]
+    out = np.zeros(len(parts), dtype=bool)
+    for a, b in ((anchor - half, anchor + gram), (anchor, anchor + gram + half)):
+        fits = np.flatnonzero((a >= begin) & (b <= begin + sizes))
+        stretch = K.mix((total[b[fits]] - total[a[fits]]) * inv[a[fits]] + hashes[fits].view(np.uint64))
+        _, kind, count = np.unique(stretch, return_inverse=True, return_counts=True)
+        out[fits] |= count[kind] > 1
+    return out
+
+
+def _expand(length: int, gram: int):
     """Interval expansion over rows (h, doc_id, s0, bytes) sorted by h."""
-    def solve(parts, docs, starts):
-        doc, start = repeats(parts, np.array(docs, dtype=np.int64), np.array(starts, dtype=np.int64), length)
+    def solve(hashes, docs, starts, parts):
+        able = _may_repeat(parts, np.array(hashes, dtype=np.int64), length, gram)
+        if not able.any():
+            return None
+        doc, start = repeats([p for p, k in zip(parts, able) if k], np.array(docs, dtype=np.int64)[able],
+                             np.array(starts, dtype=np.int64)[able], length)
         return _runs(doc, start, length) if len(doc) else None
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        parts, docs, starts, size, last = [], [], [], 0, None
+        rows, size, last = ([], [], [], []), 0, None
         for batch in batches:
-            for h, doc, s0, b in zip(*(c.to_pylist() for c in batch.columns)):
-                if h != last and size >= TRANSFORM_BYTES:
-                    if (out := solve(parts, docs, starts)) is not None:
+            for row in zip(*(c.to_pylist() for c in batch.columns)):
+                if row[0] != last and size >= TRANSFORM_BYTES:
+                    if (out := solve(*rows)) is not None:
                         yield out
-                    parts, docs, starts, size = [], [], [], 0
-                last = h
-                parts.append(b)
-                docs.append(doc)
-                starts.append(s0)
-                size += len(b)
-        if parts and (out := solve(parts, docs, starts)) is not None:
+                    rows, size = ([], [], [], []), 0
+                last = row[0]
+                for column, value in zip(rows, row):
+                    column.append(value)
+                size += len(row[3])
+        if rows[0] and (out := solve(*rows)) is not None:
             yield out
     return run
 
@@ -258,11 +288,11 @@ def _cut(hot: bool, length: int):
             for row, (doc, wanted) in enumerate(zip(batch.column(0).to_pylist(), batch.column(2).to_pylist())):
                 text = raw[off[row]:off[row + 1]].tobytes()
                 for w in wanted:
-                    for s in range(w["s0"], w["s1"] - length + 1) if hot else (w["s0"],):
+                    for s in range(w["s0"], w["s0"] + w["n"] - length + 1) if hot else (w["s0"],):
                         out[0].append(w["h"])
                         out[1].append(doc)
                         out[2].append(s)
-                        out[3].append(xxhash.xxh3_128_digest(text[s:s + length]) if hot else text[s:w["s1"]])
+                        out[3].append(xxhash.xxh3_128_digest(text[s:s + length]) if hot else text[s:s + w["n"]])
                 if len(out[0]) >= 20_000:
                     yield _cut_batch(out)
                     out = ([], [], [], [])
@@ -282,27 +312,29 @@ def repeated_ranges(docs: DataFrame, scratch: Scratch, length: int = LENGTH, gra
     rows = docs.where("doc_id IS NOT NULL").select("doc_id", "text")
     seen = (rows.mapInArrow(_anchor_rows(length, gram, False), "h bigint, c bigint")
             .groupBy("h").agg(F.sum("c").alias("c")).where("c > 1").select("h"))
-    anchors = rows.mapInArrow(_anchor_rows(length, gram, True), "h bigint, d bigint, doc_id bigint, s0 int, s1 int")
+    anchors = rows.mapInArrow(_anchor_rows(length, gram, True), "h bigint, d bigint, doc_id bigint, s0 int, n smallint")
     common = scratch.keep(anchors.join(seen, "h", "left_semi"), "common")
 
-    place = F.struct("doc_id", "s0", "s1")
+    place = F.struct("doc_id", "s0", "n")
     kinds = scratch.keep(common.groupBy("h", "d").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("c")), "kinds")
     repeated = kinds.where("c > 1").select("h", "d", F.col("first.doc_id").alias("fd"), F.col("first.s0").alias("fs"))
-    again = (common.join(repeated, ["h", "d"]).where("doc_id <> fd OR s0 <> fs")
-             .select("doc_id", F.col("s0").alias("a"), F.col("s1").alias("b")))
+    again = scratch.keep(common.join(repeated, ["h", "d"]).where("doc_id <> fd OR s0 <> fs")
+                         .select("doc_id", F.col("s0").alias("a"), (F.col("s0") + F.col("n")).alias("b")), "again")
+    scratch.drop("common")
 
     mixed = kinds.groupBy("h").agg(F.count(F.lit(1)).alias("k")).where("k > 1")
     wanted = (kinds.join(mixed, "h")
               .select(F.col("first.doc_id").alias("doc_id"), "k",
-                      F.struct("h", F.col("first.s0").alias("s0"), F.col("first.s1").alias("s1")).alias("w"))
+                      F.struct("h", F.col("first.s0").alias("s0"), F.col("first.n").alias("n")).alias("w"))
               .groupBy("doc_id").agg(F.collect_list(F.when(F.col("k") <= hot, F.col("w"))).alias("plain"),
                                      F.collect_list(F.when(F.col("k") > hot, F.col("w"))).alias("hot")))
     wanted = scratch.keep(wanted, "wanted")
+    scratch.drop("kinds")
     schema = "h bigint, doc_id bigint, s0 int, x binary"
     cut = (rows.join(wanted.where(F.size("plain") > 0).select("doc_id", "plain"), "doc_id")
            .select("doc_id", "text", "plain").mapInArrow(_cut(False, length), schema))
     mixed_ranges = (cut.repartition("h").sortWithinPartitions("h")
-                    .mapInArrow(_expand(length), "doc_id bigint, a int, b int"))
+                    .mapInArrow(_expand(length, gram), "doc_id bigint, a int, b int"))
     ranges = again.unionByName(mixed_ranges)
     if wanted.where(F.size("hot") > 0).limit(1).count():
         strings = scratch.keep(
@@ -348,7 +380,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     rows = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     ranges = repeated_ranges(rows, scratch, length, gram, hot)
     per_doc = scratch.keep(ranges.groupBy("doc_id").agg(F.collect_set(F.struct("a", "b")).alias("ranges")), "ranges")
-    scratch.drop("common", "kinds", "wanted", "strings")
+    scratch.drop("again", "wanted", "strings")
     return (rows.join(per_doc, "doc_id", "left").select("doc_id", "text", "ranges")
             .mapInArrow(_strip, "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, "
                                 "kept_sha256 string, kept binary"))
