@@ -20,11 +20,13 @@ def test_pipeline_writes_every_table(spark):
                        genre_keywords=params.FIXTURE_GENRE_KEYWORDS,
                        genome_axes=params.FIXTURE_GENOME_AXES)
     path = tempfile.mkdtemp(prefix="tidewatch-out-")
-    write_outputs(out, path)
+    write_outputs(out, path, log=spark.createDataFrame([(1, "live")], "iteration long, mode string"))
     names = set(os.listdir(path))
     for t in ("final_topic_scores", "multimodal_topic_summary", "scenario_planning",
-              "explainability_summary", "topic_clusters", "document_topics", "scenario_brief"):
+              "explainability_summary", "topic_clusters", "document_topics", "scenario_brief", "raw_signals",
+              "harvest_log", "explainability_report"):
         assert t in names
+    assert spark.read.text(os.path.join(path, "scenario_brief")).first()[0].startswith("# ")
     mm = spark.read.parquet(os.path.join(path, "multimodal_topic_summary"))
     assert mm.count() == 5
     assert mm.where("multimodal_rank = 1").count() >= 1

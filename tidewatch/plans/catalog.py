@@ -13,6 +13,7 @@ _MODULES = (
     "tidewatch.plans.q_modal",
     "tidewatch.plans.q_network",
     "tidewatch.plans.q_fusion",
+    "tidewatch.plans.q_topic_math",
     "tidewatch.plans.q_ingest",
     "tidewatch.plans.q_connectors",
     "tidewatch.plans.q_adhoc",
