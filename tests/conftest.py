@@ -12,7 +12,7 @@ SF_SMALL = "/root/testdata/sf0.001"
 def spark():
     from tidewatch.session import build_session
 
-    s = build_session("local[4]", app_name="tidewatch-tests", shuffle_partitions=8,
+    s = build_session("local[4]", app_name="tidewatch-tests", shuffle_partitions=4,
                       extra={"spark.driver.memory": "4g"})
     yield s
     s.stop()

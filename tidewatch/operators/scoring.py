@@ -63,8 +63,11 @@ def scale_by_global_max(df: DataFrame, value: str = "engagement",
             .withColumn(out, F.col(value) / F.col("_global_max")).drop("_global_max"))
 
 
-def prepare_records(df: DataFrame, lexicon=None, negators=None, punct: str = " ") -> DataFrame:
-    """P2 + P1 + P3 + N1: adds clean_text, sentiment, engagement_norm."""
+def prepare_records(df: DataFrame, lexicon=None, negators=None, punct: str = " ", scale: bool = True) -> DataFrame:
+    """P2 + P1 + P3 + N1: adds clean_text, sentiment, engagement_norm.
+
+    The source maximum needs a pass of its own over the records; callers that
+    do not use engagement_norm leave it out with ``scale=False``."""
     from tidewatch.operators.sentiment import lexicon_sentiment
 
     out = coerce_records(df).withColumn("clean_text", clean_text("text", punct))
@@ -72,7 +75,7 @@ def prepare_records(df: DataFrame, lexicon=None, negators=None, punct: str = " "
         out = out.withColumn("sentiment", F.lit(0.0))
     else:
         out = out.withColumn("sentiment", lexicon_sentiment(F.col("clean_text"), lexicon, negators))
-    return scale_by_group_max(out)
+    return scale_by_group_max(out) if scale else out
 
 
 def _blend(*pairs: tuple[float, Column]) -> Column:

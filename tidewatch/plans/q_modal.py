@@ -17,15 +17,15 @@ from tidewatch.sources import tables
 # ----------------------------------------------------------------------------
 
 
-def modal_records(spark, sf_dir):
+def modal_records(spark, sf_dir, scale: bool = False):
     """Prepared signals with audio features and the document id as media key."""
-    rec = prepared_signals(spark, sf_dir).withColumn("media_url", F.col("source_item_id"))
+    rec = prepared_signals(spark, sf_dir, scale).withColumn("media_url", F.col("source_item_id"))
     aud = tables.audio(spark, sf_dir).withColumnRenamed("vec_id", "source_item_id")
     return rec.join(aud, "source_item_id", "left")
 
 
-def enriched_records(spark, sf_dir, genre_keywords=params.FIXTURE_GENRE_KEYWORDS):
-    rec = modal_records(spark, sf_dir)
+def enriched_records(spark, sf_dir, genre_keywords=params.FIXTURE_GENRE_KEYWORDS, scale: bool = False):
+    rec = modal_records(spark, sf_dir, scale)
     img = M.image_features_for(rec, tables.pixels(spark, sf_dir))
     return M.enrich(rec, img, genre_keywords)
 

@@ -14,9 +14,9 @@ from tidewatch.plans.registry import register
 from tidewatch.sources import tables
 
 
-def prepared_signals(spark, sf_dir):
-    return scoring.prepare_records(tables.signals(spark, sf_dir),
-                                   lexicon=dict(params.LEXICON), negators=params.NEGATORS)
+def prepared_signals(spark, sf_dir, scale: bool = True):
+    return scoring.prepare_records(tables.signals(spark, sf_dir), lexicon=dict(params.LEXICON),
+                                   negators=params.NEGATORS, scale=scale)
 
 
 def prepared_mentions(spark, sf_dir):
