@@ -46,6 +46,14 @@ def test_copies_are_no_template(spark):
     assert {x.text for x in extract_pages(spark.createDataFrame(rows, SCHEMA)).collect()} == {want}
 
 
+def test_near_copies_are_no_template(spark):
+    r = random.Random(4)
+    h, want = page(r, 0, "main")
+    rows = [(i, "http://two.example.com/a", h.replace("<h1>", f"<h1>v{i} ")) for i in range(6)]
+    got = {x.page_id: x.text for x in extract_pages(spark.createDataFrame(rows, SCHEMA)).collect()}
+    assert got == {i: f"v{i} {want}" for i in range(6)}
+
+
 def test_broken_markup_and_edges(spark):
     cases = {
         "<p>one<p>two <b>three<br>four": "one two three four",

@@ -14,7 +14,9 @@ become content.
 3. *Template.*  Per (host, node, text) the pages are counted over all blocks
    with map-side combine.  Text seen at a node on ``CONSTANT`` of the pages
    that have the node, on at least ``LEAST_PAGES`` of them, and on pages whose
-   own content differs (so not mere copies of one page), is template.
+   own content differs (so not mere copies of one page), is template.  A page
+   that would lose half of its text to the template keeps it: near copies of
+   one article are no wrapper.
 4. *Content.*  The remaining blocks, without those inside menus, headers,
    footers, sidebars, notices, adverts, forms and reader comments (by element
    or by class, id and role names), and if the page marks its article
@@ -162,7 +164,14 @@ class Page:
         flush()
 
     def content(self, template: frozenset = frozenset()) -> str:
-        """Text without template blocks ((node path, text) digests)."""
+        """Text without template blocks ((node path, text) digests).  A page
+        that would lose half of its text repeats other pages and keeps it."""
+        if template:
+            short, whole = self._content(template), self._content(frozenset())
+            return short if 2 * len(short) > len(whole) else whole
+        return self._content(template)
+
+    def _content(self, template: frozenset) -> str:
         left = [(text, scope) for node, text, hidden, scope in self.blocks
                 if not hidden and (not template or block_key(node.path(), text) not in template)]
         size: dict[int, int] = {}
