@@ -21,7 +21,7 @@ def library(path, texts):
 def samples():
     r = random.Random(4)
     bits = ["Hello", "it's", "'S", "<|endoftext|>", "<|startoftext|>x", "é", "é", " ", "\n", "\t", " ", "\x1c",
-            "日本語", "😀", "123", "don't", "≯", "ΣΑΣ", "İ", "a b", "!!", "x" * 90, "​", "\r\n", "́"]
+            "日本語", "😀", "123", "don't", "≯", "ΣΑΣ", "İ", "a b", "!!", "x" * 90, "​", "\r\n", "́", "End.", "a,", "E.G.,", "...", "T̈.", "'S.", "<|ENDOFTEXT|>"]
     out = ["".join(r.choice(bits) + r.choice(["", " ", "\n"]) for _ in range(r.randint(1, 20))) for _ in range(400)]
     return out + [None, "", "  ", "word " * 9000, "<|endoftext|≯"]
 

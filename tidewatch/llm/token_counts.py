@@ -5,8 +5,8 @@ joined to stored counts for the same tokenizer version (the digest of the
 tokenizer file), only distinct misses are encoded, and their counts are
 appended to the cache.
 
-* Normalisation is Unicode NFC, which the tokenizer itself applies first, so
-  equal digests mean equal counts.  A text with ``<`` (where a special string
+* Normalisation is Unicode NFC if the tokenizer itself applies it first (its
+  file says so) and none otherwise, so equal digests mean equal counts.  A text with ``<`` (where a special string
   may begin, which the library looks for before it normalises) is digested as
   it is.
 * Misses are distinct by digest before they are encoded: copies of a document
@@ -31,6 +31,7 @@ from __future__ import annotations
 
 import hashlib
 import json
+import re
 import unicodedata
 from collections.abc import Iterator
 
@@ -42,11 +43,24 @@ from tidewatch.llm.store import Scratch, exists
 
 LIMIT = 2048
 TOKENIZER = "word_bpe_49k.json"
-PIECE_CACHE = 200_000     # distinct pieces that a worker remembers
+PIECE_CACHE = 1_000_000   # distinct pieces that a worker remembers (some 150 MB)
 
 _COUNTERS: dict = {}      # one per worker process and tokenizer
 
 
+# a full stop or comma between a letter and white space is a word of its own
+_STOP = re.compile(r"(?<=[A-Za-z])([.,])(?=[ \n]|\Z)")
+
+
+def split_pieces(text: str) -> list[str]:
+    """Pieces whose counts add up to the text's, with fewer different ones:
+    stops come off their words, ASCII text is lower-cased (as the tokenizer
+    does; not where a special string may begin)."""
+    if "<" not in text and text.isascii():
+        text = text.lower()
+    return _STOP.sub(r" \1", text).replace("\n", " ").split(" ")
+
+
 def tokenizer_version(path: str) -> str:
     with open(path, "rb") as f:
         return hashlib.sha256(f.read()).hexdigest()[:32]
@@ -66,10 +80,20 @@ def split_safe(path: str) -> bool:
     pattern = (first.get("pattern") or {}).get("Regex", " ")
     return (first.get("type") == "Split" and first.get("behavior") == "Removed" and first.get("invert") is True
             and " " not in pattern and r"[^\s" in pattern and set(kinds) <= {"NFC", "Replace", "Lowercase"}
+            and "Lowercase" in kinds and r"[\p{L}]+" in pattern
             and not any(t.get("lstrip") or t.get("rstrip") for t in spec.get("added_tokens", []))
             and not any(" " in t["content"] or "\n" in t["content"] for t in spec.get("added_tokens", [])))
 
 
+def applies_nfc(path: str) -> bool:
+    """True if the tokenizer's first normalisation step is NFC."""
+    if not path.endswith(".json"):
+        return False
+    with open(path, encoding="utf-8") as f:
+        norm = json.load(f).get("normalizer") or {}
+    return (norm.get("normalizers") or [norm])[0].get("type") == "NFC"
+
+
 class Counter:
     """Token counts of texts as the tokenizer library gives them."""
 
@@ -91,7 +115,7 @@ class Counter:
             return self._encode(texts)
         out = []
         for text in texts:
-            pieces = text.replace("\n", " ").split(" ")
+            pieces = split_pieces(text)
             known = self.pieces
             fresh = [p for p in dict.fromkeys(pieces) if p not in known]
             if fresh:
@@ -111,17 +135,19 @@ def counter(path: str) -> Counter:
     return _COUNTERS[path]
 
 
-def content_digest(text: str | None) -> bytes:
+def content_digest(text: str | None, nfc: bool = True) -> bytes:
     text = text or ""
-    if "<" not in text:
+    if nfc and "<" not in text:
         text = unicodedata.normalize("NFC", text)
     return hashlib.blake2b(text.encode(), digest_size=16).digest()
 
 
-def _digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        digests = pa.array([content_digest(t) for t in batch.column(1).to_pylist()], pa.binary())
-        yield pa.RecordBatch.from_arrays([*batch.columns, digests], ["doc_id", "text", "digest"])
+def _digests(nfc: bool):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            digests = pa.array([content_digest(t, nfc) for t in batch.column(1).to_pylist()], pa.binary())
+            yield pa.RecordBatch.from_arrays([*batch.columns, digests], ["doc_id", "text", "digest"])
+    return run
 
 
 def _encode(path: str):
@@ -149,7 +175,7 @@ def token_counts(docs: DataFrame, tokenizer_path: str, cache_path: str | None =
 
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     kind = rows.schema["doc_id"].dataType.simpleString()
-    digested = rows.mapInArrow(_digests, f"doc_id {kind}, text string, digest binary")
+    digested = rows.mapInArrow(_digests(applies_nfc(tokenizer_path)), f"doc_id {kind}, text string, digest binary")
     # distinct texts, combined before the shuffle
     distinct = digested.groupBy("digest").agg(F.first(F.coalesce("text", F.lit(""))).alias("text"))
     if exists(spark, cache_path):
