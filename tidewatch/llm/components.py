@@ -10,34 +10,48 @@ from tidewatch.llm.store import Scratch
 MAX_ROUNDS = 60
 
 
+def _roots(step: DataFrame, scratch: Scratch, name: str) -> DataFrame:
+    """(id, to) with every chain of ``to`` followed to its end, by doubling."""
+    for i in range(MAX_ROUNDS):
+        jump = step.select(F.col("id").alias("to"), F.col("to").alias("further"))
+        new = scratch.keep(step.join(jump, "to").select("id", F.col("to").alias("was"), F.col("further").alias("to")),
+                           f"{name}_{i}")
+        if not new.where("was <> to").limit(1).count():
+            return new.select("id", "to")
+        step = new.select("id", "to")
+    raise RuntimeError("chains of labels did not settle")
+
+
 def connected_components(links: DataFrame, scratch: Scratch, name: str) -> DataFrame:
     """(id, component) for every id in ``links`` (columns a, b).
 
-    Each round gives every id the least label among its neighbours and
-    itself, then follows the label's own label (pointer jumping), so a chain
-    of length n takes about log n rounds.  Rounds end when no label changes;
-    each is written to the shared folder.  An id with very many links is
-    split by the skew join; the minimum is combined before the shuffle.
-    Empty links give an empty table.  Raises if it does not settle.
+    Each round every id points to its smallest neighbour (itself if smaller),
+    chains are followed to their ends, and the links are contracted to links
+    between those ends; a round at least halves the ids that still have links,
+    and links inside a component are gone after it.  Tables are written to the
+    shared folder.  An id with very many links is split by the skew join; the
+    minimum is combined before the shuffle.  Empty links give an empty table.
+    Raises if it does not settle.
     """
-    both = scratch.keep(
-        links.select("a", "b").where(F.col("a") != F.col("b")).distinct()
-        .select(F.explode(F.array(F.struct(F.col("a").alias("id"), F.col("b").alias("near")),
-                                  F.struct(F.col("b").alias("id"), F.col("a").alias("near")))).alias("e"))
-        .select("e.id", "e.near"), f"{name}_links")
-    labels = scratch.keep(both.groupBy("id").agg(F.min("near").alias("m"))
-                          .select("id", F.least("id", "m").alias("component")), f"{name}_0")
-    for i in range(1, MAX_ROUNDS):
-        heard = (both.join(labels.select(F.col("id").alias("near"), "component"), "near")
-                 .groupBy("id").agg(F.min("component").alias("m")))
-        step = labels.join(heard, "id").select("id", F.col("component").alias("was"),
-                                               F.least("component", "m").alias("to"))
-        jump = labels.select(F.col("id").alias("to"), F.col("component").alias("further"))
-        new = scratch.keep(step.join(jump, "to").select(
-            "id", "was", F.least("to", "further").alias("component")), f"{name}_{i}")
-        changed = new.where("was <> component").limit(1).count()
-        scratch.drop(f"{name}_{i - 1}")
-        labels = new.select("id", "component")
-        if not changed:
+    edges = scratch.keep(links.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+                         .distinct(), f"{name}_edges")
+    labels = None
+    for i in range(MAX_ROUNDS):
+        both = edges.select(F.explode(F.array(F.struct(F.col("a").alias("id"), F.col("b").alias("near")),
+                                              F.struct(F.col("b").alias("id"), F.col("a").alias("near")))).alias("e"))
+        step = scratch.keep(both.groupBy(F.col("e.id").alias("id")).agg(F.min("e.near").alias("m"))
+                            .select("id", F.least("id", "m").alias("to")), f"{name}_step{i}")
+        roots = _roots(step, scratch, f"{name}_root{i}")
+        if labels is None:
+            labels = roots.select("id", F.col("to").alias("component"))
+        else:
+            moved = roots.select(F.col("id").alias("component"), "to")
+            labels = scratch.keep(labels.join(moved, "component", "left")
+                                  .select("id", F.coalesce("to", "component").alias("component")), f"{name}_labels{i}")
+        ends = (edges.join(roots.select(F.col("id").alias("a"), F.col("to").alias("x")), "a")
+                .join(roots.select(F.col("id").alias("b"), F.col("to").alias("y")), "b").where("x <> y"))
+        edges = scratch.keep(ends.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct(),
+                             f"{name}_edges{i}")
+        if not edges.limit(1).count():
             return labels
     raise RuntimeError("connected components did not settle")
