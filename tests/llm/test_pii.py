@@ -75,6 +75,21 @@ def test_redaction_keeps_other_columns(spark):
     assert "4111" not in got[4][0] and got[4][0].endswith(" end")
 
 
+def test_redaction_leaves_no_base_span(spark):
+    rows = [(i, f"{w} {v} for x@mail7.example.com") for i, (w, v) in enumerate(
+        (w, v) for w in ("order", "invoice", "version", "sample") for v in ("+1 (068) 555-2748", "213.174.22.103", "+49 30 123 4567"))]
+    rows += [(len(rows) + i, t) for i, t in enumerate(samples()[:600])]
+    rows += [(len(rows) + i, f"example {t} test") for i, t in enumerate(samples()[:100])]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    spans = {r.doc_id: r.pii for r in with_pii(df).collect()}
+    assert any(s.score < 0.5 for found in spans.values() for s in found)
+    texts, got = dict(rows), {r.doc_id: r.text for r in redact(df).collect()}
+    for d, t in rows:
+        gone = [any(s.start <= k < s.end for s in spans[d]) for k in range(len(t))]
+        kept = re.sub(r"\[(?:EMAIL|IP|CARD|PHONE|IBAN|SSN)\]", "", got[d])
+        assert kept == "".join(c for c, x in zip(texts[d], gone) if not x), t
+
+
 def test_empty_table_and_no_python(spark):
     df = pii_report(spark.createDataFrame([], "doc_id long, text string, n_email long"))
     assert df.collect() == []

@@ -85,3 +85,10 @@ def test_null_ids_and_empty_documents(spark):
             assert d.columns == docs.columns
         assert d.count() == n
         assert P.STAGES[-1][1](spark, d, SF).where("doc_id = 1").count() % 2 == 0
+
+
+def test_pii_stage_leaves_no_weak_phone_or_address(spark):
+    df = spark.createDataFrame([(1, "order +1 (068) 555-2748 end", "en", "s", 27), (2, "213.174.22.103, x@mail7.example.com", "en", "s", 35)],
+                               "doc_id long, text string, lang string, source string, n_chars long")
+    got = {r.doc_id: r.text for r in P.remove_pii(spark, df, SF).collect()}
+    assert got == {1: "order [PHONE] end", 2: "[IP], [EMAIL]"}

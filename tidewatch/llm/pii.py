@@ -144,12 +144,13 @@ def with_pii(docs: DataFrame, text_col: str = "text", out_col: str = "pii") -> D
 
 
 def redact(docs: DataFrame, text_col: str = "text", min_score: float = MIN_SCORE) -> DataFrame:
-    """``docs`` with every span replaced by its kind in brackets, e.g. ``[EMAIL]``.
+    """``docs`` with every span replaced by its kind in brackets, e.g. ``[EMAIL]``:
+    all of the base kinds, those of added kinds from ``min_score``.
     Overlapping spans become one, named after the first; null text stays null."""
     df = with_pii(docs, text_col, "__pii")
     text = F.col(f"`{text_col}`")
     order = F.array_sort(F.transform(
-        F.filter("__pii", lambda s: s["score"] >= min_score),
+        F.filter("__pii", lambda s: s["kind"].isin(*BASE_KINDS) | (s["score"] >= min_score)),
         lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), s["kind"].alias("kind"))))
     start = F.struct(F.lit(0).alias("pos"), F.lit("").alias("out"))
 
