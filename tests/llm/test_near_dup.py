@@ -76,6 +76,21 @@ def test_large_group_of_near_copies(spark):
     assert got == brute(rows, 2)
 
 
+@pytest.mark.parametrize("size,short", [(2, 32), (2, 2), (5, 32)])
+def test_short_texts_with_a_word_more(spark, size, short):
+    r = random.Random(size + short)
+    rows = []
+    for n in (size + 1, size + 2, size + 3, size + 4):
+        for k in range(6):
+            w = [f"s{n}x{k}y{i}" for i in range(n)]
+            rows += [" ".join(w), " ".join([*w, "more"]), " ".join([*w, "other"]), " ".join(["first", *w])]
+    r.shuffle(rows)
+    rows = list(enumerate(rows))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {x.doc_id: (x.n_shingles, x.component_id, x.kept) for x in near_duplicates(df, shingle=size, short_list=short, block=4).collect()}
+    assert got == brute(rows, size)
+
+
 def test_empty_table_and_extra_columns(spark):
     df = spark.createDataFrame([], "doc_id long, text string, n long, kept string")
     assert near_duplicates(df).collect() == []

@@ -15,7 +15,7 @@ coefficient on the full sets confirms each link.
   1e-9, none for sets of up to ``KEYS`` shingles, which retain everything).
 * **Copies.**  Documents with equal sets collapse into the smallest doc_id
   before any list is built, so a group of exact copies costs one row per copy.
-  Sets of fewer than five shingles can only link to equal ones.
+  Sets of fewer than four shingles can only link to equal ones.
 * **First round.**  In every list each member is paired with the list's
   smallest doc_id only; a document keeps its most frequent partner.  Members
   of long lists also meet in blocks of a few of their lists and take their
@@ -64,7 +64,7 @@ BLOCK = 1024         # members of a long list compared in one task
 LISTS = 16           # long lists that a document takes part in, its lowest
 FIRST_LISTS = 4      # those in which it first looks for partners
 FIRST_PARTNERS = 2
-LEAST_SET = 5        # smaller sets at similarity 0.8 are equal
+LEAST_SET = 4        # smaller sets at similarity 0.8 are equal
 
 
 def shingle_sets(raw: np.ndarray, off: np.ndarray, size: int) -> Iterator[np.ndarray]:
