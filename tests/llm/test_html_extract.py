@@ -74,6 +74,16 @@ def test_broken_markup_and_edges(spark):
     assert extract_pages(spark.createDataFrame([], SCHEMA)).collect() == []
 
 
+def test_nested_scopes_stay_whole():
+    cases = {
+        "<main><h1>T</h1><p>intro</p><article><p>a longer body</p></article><p>end</p></main>": "T intro a longer body end",
+        "<article><h1>T</h1><div itemprop=articleBody><p>a longer body</p></div></article>": "T a longer body",
+        "<main><article><p>one</p></article><article><p>two</p></article></main><p>out</p>": "one two",
+        "<article><p>b</p><article class=comment><p>a reader's remark</p></article></article>": "b",
+    }
+    assert [Page(h).content() for h in cases] == list(cases.values())
+
+
 def test_very_long_and_deep_pages():
     deep = "<div>" * 5000 + "x" + "</div>" * 5000 + "<p>" + "word " * 200_000
     assert len(Page(deep).content()) == 1 + 5 * 200_000

@@ -20,7 +20,8 @@ become content.
 4. *Content.*  The remaining blocks, without those inside menus, headers,
    footers, sidebars, notices, adverts, forms and reader comments (by element
    or by class, id and role names), and if the page marks its article
-   (``article``, ``main``), only those inside its largest one.
+   (``article``, ``main``), only those inside the largest outermost one, with
+   all that is nested in it.
 
 Character references are decoded, white space inside a block becomes one
 space, blocks are joined in page order by one space.  Nothing is capped; an
@@ -89,7 +90,7 @@ class Node:
 
 class Page:
     """Tree and text blocks (node, text, hidden, scope) of a page; ``scope``
-    numbers the article or main element around a block (0: none)."""
+    numbers the outermost article or main element around a block (0: none)."""
 
     def __init__(self, source: str | None):
         self.root = Node("", None)
@@ -155,9 +156,10 @@ class Page:
                 node = node.child(label) if node.depth < DEPTH else node
                 outside = scope == 0
                 if (tag in _NO_CONTENT and (outside or tag not in ("header", "footer"))) or (
-                        names and tag not in ("html", "body", "article", "main") and _NO_CONTENT_NAMES.search(names)):
+                        names and (tag not in ("html", "body", "article", "main") or (not outside and tag == "article"))
+                        and _NO_CONTENT_NAMES.search(names)):
                     hidden = True
-                if tag in ("article", "main") or re.search(r"(?:^|\s)(?:main|articleBody)(?:$|\s)", names):
+                if outside and (tag in ("article", "main") or re.search(r"(?:^|\s)(?:main|articleBody)(?:$|\s)", names)):
                     scope = len(self.scopes) + 1
                     self.scopes[scope] = tag
             stack.append((tag, node, hidden, scope))
