@@ -44,6 +44,29 @@ def test_shares_reach_the_target(spark):
     assert abs(n["big"] - 4000) < 250 and abs(n["small"] - 4000) < 250
 
 
+def test_high_rates_follow_the_distribution(spark):
+    u = [0.0, 1e-9, 0.1, 0.5, 0.9, 0.999999, 1 - 1e-9]
+    df = spark.createDataFrame([(x, lam) for x in u for lam in (20.0, 40.0, 500.0, 1500.0)], "u double, lam double")
+    for r in df.select("u", "lam", poisson_count(F.col("u"), F.col("lam")).alias("n")).collect():
+        cdf, n = math.exp(-r.lam), 0
+        while cdf <= r.u:
+            n += 1
+            cdf += math.exp(n * math.log(r.lam) - r.lam - math.lgamma(n + 1))
+        assert r.n == n
+
+
+def test_small_source_reaches_its_target(spark):
+    # 0.1 % of the characters, half of the target
+    rows = [(d, "x" * 100, "big" if d < 9990 else "small") for d in range(10_000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    rates = {r.source: r.rate for r in source_rates(docs).collect()}
+    assert rates == {"big": pytest.approx(5000 / 9990), "small": pytest.approx(500.0)}
+    n = Counter(r.source for r in mix_sources(docs).select("source").collect())
+    assert abs(n["big"] - 5000) < 250 and abs(n["small"] - 5000) < 350
+    capped = {r.source: r.rate for r in source_rates(docs, max_rate=8.0).collect()}
+    assert capped["small"] == 8.0
+
+
 def test_edges(spark):
     schema = "doc_id long, text string, source string, copy string, rate int"
     assert mix_sources(spark.createDataFrame([], schema)).collect() == []

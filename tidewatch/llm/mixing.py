@@ -16,8 +16,9 @@ the hash of (seed, doc_id, copy).
 * The shuffle deals copies out by their hash key and sorts inside partitions:
   each output partition is a random part of the mixture in random order.
 
-Rates are at most ``MAX_RATE`` (a documented feature: no document is repeated
-without bound).  Null or empty texts weigh nothing but follow their source's
+Rates are as high as the targets ask, so that a source reaches its share
+however small it is; ``max_rate`` is an opt-in that bounds the copies of a
+document (what a source loses by it goes to no other).  Null or empty texts weigh nothing but follow their source's
 rate; a null source is a source; without ``weights`` every source gets the
 same target; weights of absent sources are spread over the others; a source
 with weight 0 goes; a source without any characters keeps rate 1; repeated rows are
@@ -32,10 +33,10 @@ from pyspark.sql import functions as F
 from tidewatch.llm.store import Scratch
 
 SEED = "mix-1"
-MAX_RATE = 8.0
 EPOCHS = 1.0
-TERMS = 64     # of the distribution function
-LEAST_TERM = 1e-17   # smaller ones are beyond the 52 bits of the uniform number
+TERMS = 64     # of the distribution function, more for high rates
+LEAST_TERM = 1e-17   # smaller ones above the mean are beyond the 52 bits of the uniform number
+DIRECT = 500.0       # terms of higher rates go by logarithms, as exp(-rate) comes near 0
 
 
 def uniform(*parts) -> Column:
@@ -48,16 +49,21 @@ def uniform(*parts) -> Column:
 def poisson_count(u: Column, rate: Column) -> Column:
     """Inverse of the Poisson distribution function: the number of k with
     P(X <= k) <= u."""
-    start = F.struct(F.lit(0).alias("n"), F.exp(-rate).alias("term"), F.exp(-rate).alias("cdf"))
+    start = F.struct(F.lit(0).alias("n"), (-rate).alias("log"), F.exp(-rate).alias("term"), F.exp(-rate).alias("cdf"))
+    # ten standard deviations above the mean
+    last = F.greatest(F.lit(TERMS), F.ceil(rate + 10 * F.sqrt(rate) + 34).cast("int"))
 
     def step(a: Column, k: Column) -> Column:
-        term = a["term"] * rate / k
-        return F.struct((a["n"] + F.when((a["cdf"] <= u) & (a["term"] > LEAST_TERM), 1).otherwise(0)).alias("n"), term.alias("term"),
+        more = (a["cdf"] <= u) & ((a["term"] > LEAST_TERM) | (k <= rate))
+        log = F.when(rate > DIRECT, a["log"] + F.log(rate / k)).otherwise(a["log"])
+        term = F.when(rate > DIRECT, F.exp(log)).otherwise(a["term"] * rate / k)
+        return F.struct((a["n"] + F.when(more, 1).otherwise(0)).alias("n"), log.alias("log"), term.alias("term"),
                         (a["cdf"] + term).alias("cdf"))
-    return F.aggregate(F.sequence(F.lit(1), F.lit(TERMS)), start, step, lambda a: a["n"])
+    return F.aggregate(F.sequence(F.lit(1), last), start, step, lambda a: a["n"])
 
 
-def source_rates(docs: DataFrame, weights: dict[str, float] | None = None, epochs: float = EPOCHS) -> DataFrame:
+def source_rates(docs: DataFrame, weights: dict[str, float] | None = None, epochs: float = EPOCHS,
+                 max_rate: float | None = None) -> DataFrame:
     """(source, n_docs, chars, rate) per source."""
     size = F.coalesce(F.length(F.col("text").cast("string")), F.lit(0)).cast("bigint")
     sums = Scratch(docs.sparkSession, "mixing").keep(
@@ -73,17 +79,19 @@ def source_rates(docs: DataFrame, weights: dict[str, float] | None = None, epoch
     sums = sums.withColumn("weight", F.when(F.col("chars") > 0, weight).otherwise(F.lit(0.0)))
     total = sums.agg(F.sum("chars").alias("all_chars"), F.sum("weight").alias("all_weight"))
     rate = F.col("weight") / F.col("all_weight") * F.col("all_chars") * F.lit(epochs) / F.col("chars")
+    rate = F.coalesce(rate, F.lit(1.0))
+    if max_rate is not None:
+        rate = F.least(rate, F.lit(float(max_rate)))
     return sums.join(F.broadcast(total)).select(   # one row
-        "source", "n_docs", "chars",
-        F.when(F.col("chars") == 0, F.lit(1.0)).otherwise(F.least(F.coalesce(rate, F.lit(1.0)), F.lit(MAX_RATE))).alias("rate"))
+        "source", "n_docs", "chars", F.when(F.col("chars") == 0, F.lit(1.0)).otherwise(rate).alias("rate"))
 
 
 def mix_sources(docs: DataFrame, weights: dict[str, float] | None = None, epochs: float = EPOCHS,
-                seed: str = SEED) -> DataFrame:
+                seed: str = SEED, max_rate: float | None = None) -> DataFrame:
     """The mixture: the columns of ``docs`` plus ``copy`` (0, 1, ...) and
     ``mix_key``, in global random order."""
     own = [F.col(f"`{c}`") for c in docs.columns if c not in ("copy", "mix_key")]
-    rates = source_rates(docs, weights, epochs).select(F.col("source").alias("__source"), F.col("rate").alias("__rate"))
+    rates = source_rates(docs, weights, epochs, max_rate).select(F.col("source").alias("__source"), F.col("rate").alias("__rate"))
     counted = (docs.select(*own).join(rates, F.col("source").eqNullSafe(F.col("__source")))
                .withColumn("__n", poisson_count(uniform(seed, F.col("doc_id")), F.col("__rate")))
                .where(F.col("__n") > 0))
