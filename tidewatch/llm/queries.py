@@ -1,4 +1,4 @@
-"""Registered queries of the ten corpus operators and their oracle SQL."""
+"""Registered queries of the corpus operators and their oracle SQL."""
 
 from __future__ import annotations
 
@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from tidewatch.llm.chat import CHAT_SQL, chat_windows, conversation_digests
 from tidewatch.llm.decontaminate import contaminated
+from tidewatch.llm.filter_audit import FILTER_AUDIT_SQL, filter_audit
 from tidewatch.llm.html_extract import extract_pages
 from tidewatch.llm.mixing import MIX_SQL, mix_sources
 from tidewatch.llm.near_dup import NEAR_DUP_SQL, near_duplicates
@@ -99,3 +100,9 @@ def op9_token_counts(spark, sf_dir):
 def op10_toxicity(spark, sf_dir):
     """Toxicity score of every whole text."""
     return toxicity(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
+@query("op13_filter_audit", FILTER_AUDIT_SQL)
+def op13_filter_audit(spark, sf_dir):
+    """All 120 orders of five filters over every whole text, per language."""
+    return filter_audit(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
