@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from tidewatch.llm.chat import CHAT_SQL, chat_windows, conversation_digests
 from tidewatch.llm.decontaminate import contaminated
+from tidewatch.llm.divergence import DIVERGENCE_SQL, source_divergence
 from tidewatch.llm.filter_audit import FILTER_AUDIT_SQL, filter_audit
 from tidewatch.llm.html_extract import extract_pages
 from tidewatch.llm.mixing import MIX_SQL, mix_sources
@@ -102,6 +103,12 @@ def op10_toxicity(spark, sf_dir):
     return toxicity(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
 
+@query("op12_source_divergence", DIVERGENCE_SQL)
+def op12_source_divergence(spark, sf_dir):
+    """Terms of every whole text, per language and source."""
+    return source_divergence(read(spark, sf_dir, "documents"))
+
+
 @query("op13_filter_audit", FILTER_AUDIT_SQL)
 def op13_filter_audit(spark, sf_dir):
     """All 120 orders of five filters over every whole text, per language."""
