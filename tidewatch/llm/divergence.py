@@ -77,15 +77,6 @@ def radix_order(keys: list[np.ndarray], order: np.ndarray | None = None) -> np.n
     return order
 
 
-def pack(buf: np.ndarray, starts: np.ndarray, lengths: np.ndarray, at: int) -> np.ndarray:
-    """Bytes ``at .. at + 7`` of each term as one big-endian word, zeros behind its
-    end.  ``buf`` has at least 16 bytes behind the last term."""
-    words = np.ndarray(len(buf) - 7, dtype=">u8", buffer=buf, strides=(1,))
-    word = words[starts + at].astype(np.uint64)
-    short = np.clip(8 - (lengths - at), 0, 7).astype(np.uint64) * np.uint64(8)
-    return np.where(lengths > at, word >> short << short, np.uint64(0))
-
-
 def _runs(order: np.ndarray, keys: list[np.ndarray], docs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(first row, rows, documents) of each run of equal keys in ``order``."""
     change = np.zeros(len(order), dtype=bool)
@@ -121,7 +112,7 @@ def count_terms(raw: np.ndarray, off: np.ndarray, groups: np.ndarray) -> Iterato
         own = np.flatnonzero(width == w)
         s, n, g, d = starts[own], lengths[own], group[own], doc[own]
         if w <= 16:
-            keys = [pack(buf, s, n, at) for at in range(0, w, 8)]
+            keys = [K.pack(buf, s, n, at) for at in range(0, w, 8)]
             order = radix_order([g, *reversed(keys)])
         else:
             # a term holds no zero byte, so numpy's own padding is unambiguous too

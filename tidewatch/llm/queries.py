@@ -13,6 +13,7 @@ from tidewatch.llm.filter_audit import FILTER_AUDIT_SQL, filter_audit
 from tidewatch.llm.html_extract import extract_pages
 from tidewatch.llm.mixing import MIX_SQL, mix_sources
 from tidewatch.llm.near_dup import NEAR_DUP_SQL, near_duplicates
+from tidewatch.llm.packing import place_pieces, token_pieces
 from tidewatch.llm.pii import pii_report
 from tidewatch.llm.quality import QUALITY_SQL, quality_report
 from tidewatch.llm.suffix_dedup import remove_repeats
@@ -103,6 +104,15 @@ def op10_toxicity(spark, sf_dir):
     return toxicity(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
 
+@query("op11_best_fit_packing")
+def op11_best_fit_packing(spark, sf_dir):
+    """Tokens of every whole text in sequences of at most 4096."""
+    import public_tokenizers
+    pieces = token_pieces(read(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER))
+    placed = place_pieces(pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids"))
+    return placed.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
+
+
 @query("op12_source_divergence", DIVERGENCE_SQL)
 def op12_source_divergence(spark, sf_dir):
     """Terms of every whole text, per language and source."""
