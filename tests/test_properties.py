@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from tidewatch.functions.text import clean_text, count_occurrences, stable_seed
 from tidewatch.operators import forecast as FC
 from tidewatch.operators import scoring as SC
-from tidewatch.operators.sentiment import lexicon_sentiment, prefix_tree_pattern
+from tidewatch.operators.sentiment import lexicon_sentiment
 
 
 def _py_seed(s: str) -> int:
@@ -97,11 +97,10 @@ def test_sentiment_equals_a_token_loop(spark):
     assert _scores(spark, texts, lex, negs) == pytest.approx([loop(t) for t in texts])
 
 
-def test_prefix_tree_pattern_holds_many_words():
-    import re
-    words = [f"w{i}x" for i in range(5000)] + ["w"]
-    pattern = re.compile(prefix_tree_pattern(words))
-    assert all(pattern.fullmatch(w) for w in words) and not pattern.fullmatch("w5000x")
+def test_sentiment_of_a_large_lexicon(spark):
+    lex = {f"w{i}": (i % 21 - 10) / 10 for i in range(3000)}
+    want = [(lex["w7"] + lex["w2999"]) / 2, lex["w5"] * -0.5, 0.0]
+    assert _scores(spark, ["w7 x w2999 w3000", "not w5", "w"], lex, ["not"]) == pytest.approx(want)
 
 
 def test_spine_has_no_gaps(spark):

@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidewatch.functions.keywords import distinct_hits
 from tidewatch.functions.text import stable_seed
 from tidewatch.operators.joins import checked_broadcast
 from tidewatch.plans import params
@@ -171,16 +172,9 @@ def keyword_struct(text: Column, genre_keywords=None) -> Column:
     """struct(hits, neg_ord, genre) of the genre with most distinct keyword
     hits (ties -> table order)."""
     table = genre_keywords or params.GENRE_KEYWORDS
-    low = F.lower(F.coalesce(text, F.lit("")))
-    entries = []
-    for ordinal, (genre, kws) in enumerate(table):
-        hits = None
-        for kw in dict.fromkeys(kws):
-            h = F.when(low.contains(F.lit(kw)), F.lit(1)).otherwise(F.lit(0))
-            hits = h if hits is None else hits + h
-        entries.append(F.struct(hits.alias("hits"), F.lit(-ordinal).alias("neg_ord"),
-                                F.lit(genre).alias("genre")))
-    return F.array_max(F.array(*entries))
+    hits = distinct_hits(F.lower(F.coalesce(text, F.lit(""))), [kws for _, kws in table])
+    genres = F.lit([genre for genre, _ in table])
+    return F.array_max(F.transform(hits, lambda n, i: F.struct(n.alias("hits"), (-i).alias("neg_ord"), F.get(genres, i).alias("genre"))))
 
 
 def keyword_genre(text: Column, genre_keywords=None) -> tuple[Column, Column]:

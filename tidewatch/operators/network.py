@@ -13,7 +13,7 @@ import heapq
 
 import pandas as pd
 from pyspark.ml.feature import NGram, RegexTokenizer, StopWordsRemover
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidewatch.functions import terms as TM
@@ -21,6 +21,9 @@ from tidewatch.operators.joins import checked_broadcast, one_row
 from tidewatch.plans.params import STOP_WORDS
 
 TOP_NEIGHBOURS = 2
+SEED_TERMS = 8         # heaviest shared terms of a topic that set its floor
+GRADES = 4             # grades of document frequency per doubling
+SLACK = 1e-9           # rounding of sums that are compared with a floor
 DAMPING = 0.85
 PR_MAX_ITER = 100
 PR_TOL = 1e-6
@@ -82,20 +85,99 @@ def topic_similarity(tfidf: DataFrame) -> DataFrame:
             .groupBy("topic_a", "topic_b").agg(F.sum(F.col("wa") * F.col("wb")).alias("similarity")))
 
 
-def similarity_edges(sim: DataFrame, k: int = TOP_NEIGHBOURS) -> DataFrame:
-    """Each topic's top-k neighbours (weight > 0, ties by topic),
-    undirected and merged by max weight."""
-    both = (sim.select(F.col("topic_a").alias("src"), F.col("topic_b").alias("dst"), "similarity")
-            .unionByName(sim.select(F.col("topic_b").alias("src"), F.col("topic_a").alias("dst"),
-                                    "similarity")))
+def nearest_topics(tfidf: DataFrame, k: int = TOP_NEIGHBOURS) -> DataFrame:
+    """(src, dst, similarity), each topic's ``k`` most similar topics
+    (similarity > 0, ties by topic), without comparing all pairs.
+
+    An inverted index with prefix filtering, exact:
+
+    1. *Floor.*  Each topic meets the heaviest holders of its ``SEED_TERMS``
+       heaviest shared terms; those pairs are scored in full, and the k-th best
+       score is a floor under the topic's k-th neighbour.
+    2. *Prefix.*  A topic's terms are graded by how many topics share them.  With
+       ``m`` the largest weight of a term anywhere, a topic that shares only
+       grades above some grade with it scores at most the sum of ``w * m``
+       over these grades, and at most their norm.  The most common grades whose bound stays
+       under the floor need no look-up: what is left is the topic's prefix.
+    3. *Look-up.*  Only prefix terms are joined with the index; pairs not yet
+       scored are scored in full, and the k best of each topic are kept.
+
+    Bounds are taken per (topic, grade), combined before the shuffle, so a topic with
+    very many terms is never sorted in one task.  A topic without k
+    neighbours so far has floor 0 and looks up all its terms.
+    """
+    if k < 1:
+        raise ValueError("k must be at least 1")
+    holders = tfidf.groupBy("term").agg(F.count(F.lit(1)).alias("df"), F.max("weight").alias("most"))
+    # terms of one topic alone cannot add to any pair
+    index = (tfidf.where("weight > 0").join(holders.where("df > 1"), "term")
+             .select("topic", "term", "weight", "df", "most").checkpoint())
+
+    by_weight = Window.partitionBy("topic").orderBy(F.desc(F.col("weight") * F.col("most")), "term")
+    seeds = (index.withColumn("_rn", F.row_number().over(by_weight)).where(F.col("_rn") <= SEED_TERMS)
+             .select(F.col("topic").alias("src"), "term"))
+    heaviest = Window.partitionBy("term").orderBy(F.desc("weight"), "topic")
+    champions = (index.withColumn("_rn", F.row_number().over(heaviest)).where(F.col("_rn") <= k + 1)
+                 .select("term", F.col("topic").alias("dst")))
+    scored = _score_pairs(seeds.join(champions, "term"), index).checkpoint()
+
+    floor = (_both_ways(scored).transform(_best, k).groupBy(F.col("src").alias("topic"))
+             .agg(F.when(F.count(F.lit(1)) >= k, F.min("similarity")).alias("floor")))
+    grade = F.floor(GRADES * F.log2("df")).cast("int")
+    graded = (index.groupBy("topic", grade.alias("grade"))
+              .agg(F.sum(F.col("weight") * F.col("most")).alias("reach"), F.sum(F.col("weight") * F.col("weight")).alias("square")))
+    # one row per topic and grade, at most GRADES * log2(topics) of them a topic
+    above = Window.partitionBy("topic").orderBy(F.desc("grade")).rowsBetween(Window.unboundedPreceding, 0)
+    bound = F.least(F.sum("reach").over(above), F.sqrt(F.sum("square").over(above)))
+    last = (graded.withColumn("bound", bound).join(floor, "topic", "left")
+            .where(F.coalesce(F.col("bound") >= F.col("floor") * (1.0 - SLACK) - SLACK, F.lit(True)))
+            .groupBy("topic").agg(F.max("grade").alias("last")))
+    prefix = index.join(last, "topic").where(grade <= F.col("last")).select(F.col("topic").alias("src"), "term")
+    found = (prefix.join(index.select("term", F.col("topic").alias("dst")), "term")
+             .select(F.least("src", "dst").alias("topic_a"), F.greatest("src", "dst").alias("topic_b"))
+             .where("topic_a < topic_b").distinct().join(scored, ["topic_a", "topic_b"], "left_anti"))
+    pairs = _score_pairs(found.select(F.col("topic_a").alias("src"), F.col("topic_b").alias("dst")), index).unionByName(scored)
+    return _best(_both_ways(pairs), k)
+
+
+def _score_pairs(pairs: DataFrame, index: DataFrame) -> DataFrame:
+    """(topic_a, topic_b, similarity) of the given (src, dst) pairs, each once."""
+    pairs = (pairs.select(F.least("src", "dst").alias("topic_a"), F.greatest("src", "dst").alias("topic_b"))
+             .where("topic_a < topic_b").distinct())
+    a = index.select(F.col("topic").alias("topic_a"), "term", F.col("weight").alias("wa"))
+    b = index.select(F.col("topic").alias("topic_b"), "term", F.col("weight").alias("wb"))
+    return (pairs.join(a, "topic_a").join(b, ["topic_b", "term"])
+            .groupBy("topic_a", "topic_b").agg(F.sum(F.col("wa") * F.col("wb")).alias("similarity")))
+
+
+def _both_ways(pairs: DataFrame) -> DataFrame:
+    return (pairs.select(F.col("topic_a").alias("src"), F.col("topic_b").alias("dst"), "similarity")
+            .unionByName(pairs.select(F.col("topic_b").alias("src"), F.col("topic_a").alias("dst"), "similarity")))
+
+
+def _best(directed: DataFrame, k: int) -> DataFrame:
+    """The k largest similarities above 0 of each ``src``, ties by topic."""
     w = Window.partitionBy("src").orderBy(F.desc("similarity"), F.asc("dst"))
-    top = both.withColumn("_rn", F.row_number().over(w)).where((F.col("_rn") <= k)
-                                                               & (F.col("similarity") > 0))
-    return (top.groupBy(F.least("src", "dst").alias("source_topic"),
-                        F.greatest("src", "dst").alias("target_topic"))
+    return (directed.where("similarity > 0").withColumn("_rn", F.row_number().over(w))
+            .where(F.col("_rn") <= k).drop("_rn"))
+
+
+def _merge_edges(top: DataFrame) -> DataFrame:
+    return (top.groupBy(F.least("src", "dst").alias("source_topic"), F.greatest("src", "dst").alias("target_topic"))
             .agg(F.max("similarity").alias("weight")))
 
 
+def similarity_edges(sim: DataFrame, k: int = TOP_NEIGHBOURS) -> DataFrame:
+    """X5 / W8 / R9 from ready similarities of pairs: each topic's top-k neighbours
+    (weight > 0, ties by topic), undirected and merged by max weight."""
+    return _merge_edges(_best(_both_ways(sim), k))
+
+
+def topic_edges(tfidf: DataFrame, k: int = TOP_NEIGHBOURS) -> DataFrame:
+    """X5 / W8 / R9 from weighted terms: the same edges without all pairs."""
+    return _merge_edges(nearest_topics(tfidf, k))
+
+
 def degrees(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     """Degree and weighted degree; isolated topics get 0."""
     ends = (edges.select(F.col("source_topic").alias("topic"), "weight")
@@ -180,11 +262,77 @@ def pagerank(nodes: DataFrame, edges: DataFrame, damping: float = DAMPING,
     raise RuntimeError(f"PageRank did not settle within {max_iter} iterations")
 
 
-# --- X7: betweenness (Brandes), sources distributed over tasks ------------------
+# --- X7: betweenness (Brandes) as joins over (source, node) rows ----------------
+
+SOURCE_BLOCK = 2_000   # sources whose rows are held at once
+HOP_BLOCK = 4          # rounds planned into one job
+TASK_EDGES = 500_000   # a graph of at most so many edges fits a task (some 100 MB)
 
-def _distances(graph: list, start: int) -> list:
+
+def shortest_paths(start: DataFrame, links: DataFrame, block: int = HOP_BLOCK) -> DataFrame:
+    """(source, node, far, paths, hops) of every node within reach of the sources
+    in ``start``: distance, number of shortest paths and hops of the longest of them.
+
+    ``links`` is (src, dst, weight) in both directions, weights above 0.  A round
+    offers every row to the node's neighbours and keeps the nearest offers, with
+    the paths of equally near ones added up; the rows settle after as many rounds as the
+    longest shortest path has hops.  ``block`` rounds are one job, checkpointed to
+    the shared folder, then one more round shows whether anything still changes.
+    """
+    first = start.select(F.col("topic").alias("source"), F.col("topic").alias("node"), F.lit(0.0).alias("far"),
+                         F.lit(1.0).alias("paths"), F.lit(0).alias("hops")).checkpoint()
+
+    def step(rows: DataFrame) -> DataFrame:
+        offers = (rows.join(links, rows["node"] == links["src"])
+                  .select("source", F.col("dst").alias("node"), (F.col("far") + F.col("weight")).alias("far"), "paths",
+                          (F.col("hops") + 1).alias("hops")).unionByName(first))
+        # a node has at most one offer per neighbour
+        equal = offers.groupBy("source", "node", "far").agg(F.sum("paths").alias("paths"), F.max("hops").alias("hops"))
+        near = equal.groupBy("source", "node").agg(F.min(F.struct("far", "paths", "hops")).alias("_n"))
+        return near.select("source", "node", "_n.far", "_n.paths", "_n.hops")
+
+    rows = first
+    while True:
+        for _ in range(block):
+            rows = step(rows)
+        rows = rows.checkpoint()
+        after = step(rows).checkpoint()
+        if not after.join(rows, rows.columns, "left_anti").limit(1).count():
+            return after
+        rows = after
+
+
+def dependencies(paths: DataFrame, links: DataFrame, block: int = HOP_BLOCK) -> DataFrame:
+    """(source, node, share): Brandes' dependency of each source on each node.
+
+    Every step of a shortest path hands the share of the node behind it, plus one, back
+    to the node before it, in proportion to the paths through that node.
+    All steps are laid out once; after as many rounds as the longest path has hops
+    the shares are exact.
+    """
+    near = paths.select("source", F.col("node").alias("src"), F.col("far").alias("_far"), F.col("paths").alias("_paths"))
+    there = paths.select("source", F.col("node").alias("dst"), "far", "paths")
+    steps = (near.join(links, "src").join(there, ["source", "dst"]).where(F.col("_far") + F.col("weight") == F.col("far"))
+             .select("source", "src", "dst", (F.col("_paths") / F.col("paths")).alias("part")).checkpoint())
+    hops = paths.agg(F.max("hops")).first()[0] or 0
+
+    def step(shares: DataFrame) -> DataFrame:
+        behind = shares.select("source", F.col("node").alias("dst"), "share")
+        return (steps.join(behind, ["source", "dst"], "left")
+                .groupBy("source", F.col("src").alias("node"))
+                .agg(F.sum(F.col("part") * (1.0 + F.coalesce("share", F.lit(0.0)))).alias("share")))
+
+    shares = steps.select("source", F.col("src").alias("node"), F.lit(0.0).alias("share")).limit(0)
+    for done in range(hops):
+        shares = step(shares)
+        if (done + 1) % block == 0:
+            shares = shares.checkpoint()
+    return shares.where("source <> node")
+
+
+def _distances(graph: dict, start: str) -> list:
     """(distance, node) of all reachable nodes, nearest first."""
-    settled: dict[int, float] = {}
+    settled: dict[str, float] = {}
     order, frontier = [], [(0.0, start)]
     while frontier:
         far, node = heapq.heappop(frontier)
@@ -198,7 +346,7 @@ def _distances(graph: list, start: int) -> list:
     return order
 
 
-def source_dependencies(graph: list, start: int) -> dict[int, float]:
+def source_dependencies(graph: dict, start: str) -> dict[str, float]:
     """Brandes' dependencies of one source: paths are counted outwards over the
     shortest-path graph, and each node hands its share back to the nodes that
     lead to it, farthest first."""
@@ -218,45 +366,62 @@ def source_dependencies(graph: list, start: int) -> dict[int, float]:
     return share
 
 
-def betweenness(nodes: DataFrame, edges: DataFrame, sources: int | None = None) -> DataFrame:
+def _dependencies_in_tasks(chosen: DataFrame, links: DataFrame, tasks: int) -> DataFrame:
+    """(source, node, share) with one task per group of sources, each given the whole
+    (checked) graph: far fewer rows than joins, and long chains cost no rounds."""
+    def run(key, sources, edges):
+        graph: dict[str, list] = {topic: [] for topic in sources["topic"]}
+        for a, b, w in zip(edges["src"], edges["dst"], edges["weight"]):
+            graph.setdefault(a, []).append((b, w))
+            graph.setdefault(b, [])
+        total: dict[str, float] = {}
+        for topic in sources["topic"]:
+            for node, value in source_dependencies(graph, topic).items():
+                total[node] = total.get(node, 0.0) + value
+        return pd.DataFrame({"node": pd.Series(list(total), dtype=object), "share": pd.Series(list(total.values()), dtype=float)})
+
+    own = chosen.withColumn("task", F.pmod(F.xxhash64("topic"), F.lit(tasks)).cast("int")).groupBy("task")
+    each = links.withColumn("task", F.explode(F.sequence(F.lit(0), F.lit(tasks - 1)))).groupBy("task")
+    return own.cogroup(each).applyInPandas(run, "node string, share double")
+
+
+def betweenness(nodes: DataFrame, edges: DataFrame, sources: int | None = None, source_block: int = SOURCE_BLOCK,
+                task_edges: int = TASK_EDGES) -> DataFrame:
     """Normalised weighted betweenness: sum over sources / ((n-1)(n-2)).
 
     Shortest paths use the edge weight as distance (the similarity itself, as
-    in the original model).  The graph has at most TOP_NEIGHBOURS edges per
-    topic; tasks get it as a broadcast variable and share the sources, whose
-    dependencies are summed with map-side combine.  The cost is topics times
-    edges; ``sources`` estimates it from that many sources (those with the
-    lowest hash), scaled up.
+    in the original model).  Neither the driver nor a broadcast sees the graph.
+    Up to ``task_edges`` edges (counted first) it is dealt to every group of sources
+    as rows, and each task runs its sources on it.  Beyond that, paths and
+    dependencies are joins and sums over (source, node) rows in checkpointed rounds, in blocks
+    of ``source_block`` sources, as many rounds as the longest path has hops.
+    The cost is topics times edges; ``sources`` estimates the result from that many sources (those
+    with the lowest hash), scaled up.
     """
-    spark: SparkSession = nodes.sparkSession
-    node_ids = nodes.select("topic").distinct()
-    names = sorted(r["topic"] for r in node_ids.collect())
-    n = len(names)
-    number = {t: i for i, t in enumerate(names)}
-    graph: list[list] = [[] for _ in names]
-    for r in edges.select("source_topic", "target_topic", "weight").toLocalIterator():
-        a, b, w = number[r["source_topic"]], number[r["target_topic"]], float(r["weight"])
-        graph[a].append((b, w))
-        graph[b].append((a, w))
-    shared = spark.sparkContext.broadcast((names, number, graph))
+    node_ids = nodes.select("topic").distinct().checkpoint()
+    n = node_ids.count()
+    links = edges.select(F.col("source_topic").alias("src"), F.col("target_topic").alias("dst"), F.col("weight").cast("double").alias("weight"))
+    links = (links.unionByName(links.select(F.col("dst").alias("src"), F.col("src").alias("dst"), "weight"))
+             .where("src <> dst AND weight > 0").checkpoint())
     scale = 1.0 / ((n - 1) * (n - 2)) if n > 2 else 0.0
-    chosen = node_ids
+    chosen, many = node_ids, n
     if sources is not None and sources < n:
-        chosen = node_ids.orderBy(F.xxhash64("topic"), "topic").limit(sources)
+        chosen, many = node_ids.orderBy(F.xxhash64("topic"), "topic").limit(sources).checkpoint(), sources
         scale *= n / sources
-
-    def run(batches):
-        names, number, graph = shared.value
-        for pdf in batches:
-            total: dict[int, float] = {}
-            for topic in pdf["topic"]:
-                for node, value in source_dependencies(graph, number[topic]).items():
-                    total[node] = total.get(node, 0.0) + value
-            yield pd.DataFrame({"topic": [names[k] for k in total], "b": list(total.values())}, columns=["topic", "b"])
-
-    parts = max(1, min(n, spark.sparkContext.defaultParallelism))
-    partial = chosen.repartition(parts).mapInPandas(run, "topic string, b double")
-    summed = partial.groupBy("topic").agg(F.sum("b").alias("_b"))
+    if links.limit(2 * task_edges + 1).count() <= 2 * task_edges:
+        tasks = max(1, min(many, nodes.sparkSession.sparkContext.defaultParallelism))
+        total = _dependencies_in_tasks(chosen, links, tasks).select(F.col("node").alias("topic"), F.col("share").alias("_b"))
+    else:
+        # a source without links leads nowhere
+        chosen = chosen.join(links.select(F.col("src").alias("topic")).distinct(), "topic", "left_semi").checkpoint()
+        blocks = max(1, -(-many // source_block))
+        total = None
+        for b in range(blocks):
+            own = chosen if blocks == 1 else chosen.where(F.pmod(F.xxhash64("topic"), F.lit(blocks)) == b)
+            part = (dependencies(shortest_paths(own, links), links).groupBy(F.col("node").alias("topic"))
+                    .agg(F.sum("share").alias("_b")).checkpoint())
+            total = part if total is None else total.unionByName(part)
+    summed = total.groupBy("topic").agg(F.sum("_b").alias("_b"))
     return (node_ids.join(summed, "topic", "left")
             .select("topic", (F.coalesce(F.col("_b"), F.lit(0.0)) * scale).alias("betweenness")))
 
@@ -264,7 +429,7 @@ def betweenness(nodes: DataFrame, edges: DataFrame, sources: int | None = None)
 def build_topic_network(records: DataFrame, stop_words=None) -> tuple[DataFrame, DataFrame]:
     """(nodes, edges) from prepared records with ``clean_text``."""
     tfidf = topic_tfidf(topic_term_counts(records, stop_words=stop_words))
-    edges = similarity_edges(topic_similarity(tfidf)).checkpoint()
+    edges = topic_edges(tfidf).checkpoint()
     nodes = records.where(F.col("topic").isNotNull()).select("topic").distinct().checkpoint()
     pr = pagerank(nodes, edges)
     bt = betweenness(nodes, edges)

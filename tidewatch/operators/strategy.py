@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidewatch.functions.text import count_occurrences
+from tidewatch.functions.keywords import occurrences
 from tidewatch.plans import params
 
 AXIS_TOKEN_RATE = 0.04
@@ -19,10 +19,9 @@ def axis_hit_columns(clean_col: str = "clean_text", axes=None) -> dict:
     """Per-record additive columns: token count and keyword occurrences per axis."""
     ax = _axes(axes)
     c = F.coalesce(F.col(clean_col), F.lit(""))
-    cols = {"_tokens": F.when(F.trim(c) == "", 0).otherwise(F.size(F.split(F.trim(c), " +")))}
-    for name, kws in ax:
-        cols[f"_h_{name}"] = sum((count_occurrences(c, k) for k in kws), F.lit(0).cast("bigint"))
-    return cols
+    hits = occurrences(c, [kws for _, kws in ax])
+    return {"_tokens": F.when(F.trim(c) == "", 0).otherwise(F.size(F.split(F.trim(c), " +"))),
+            **{f"_h_{name}": F.get(hits, F.lit(i)) for i, (name, _) in enumerate(ax)}}
 
 
 def axis_scores_from_sums(sums: DataFrame, axes=None) -> DataFrame:

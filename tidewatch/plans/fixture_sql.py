@@ -10,9 +10,9 @@ from tidewatch.functions.text import WHITE_SPACE
 from tidewatch.plans import params
 
 SIGNALS = """signals AS (
-  SELECT d.doc_id AS source_item_id, e.event_type AS topic, d.source, d.lang,
+  SELECT e.event_id AS source_item_id, e.event_type AS topic, d.source, d.lang,
          CAST(e.ts AS DATE) AS date, d.text, e.value AS engagement
-  FROM documents d JOIN events e ON e.event_id = d.doc_id)"""
+  FROM events e JOIN documents d ON d.doc_id = e.event_id % (SELECT count(*) FROM documents))"""
 
 MENTIONS = """mentions AS (
   SELECT event_id, event_type AS topic, 'u' || CAST(user_id % 4 AS VARCHAR) AS source,

@@ -13,6 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from tidewatch.functions.keywords import first_group
 from tidewatch.operators.joins import checked_broadcast, one_row
 from tidewatch.session import path_exists
 
@@ -168,17 +169,14 @@ def match_topic(text: Column, topics: DataFrame) -> Column:
     """Case-insensitive substring match of any topic term; the first topic in
     configuration order wins; null when nothing matches.
 
-    The terms are one literal array of the configuration, scanned per row; no
-    join, and the expression does not grow with their number.
+    All terms are found in one pass over the text, however many there are.
     """
-    rows = topic_terms(topics).orderBy("topic_ordinal", "term").collect()   # configuration
+    rows = (topic_terms(topics).groupBy("topic_ordinal", "topic").agg(F.collect_list("term").alias("terms"))
+            .orderBy("topic_ordinal", "topic").collect())   # configuration
     if not rows:
         return F.lit(None).cast("string")
-    low = F.lower(F.coalesce(text, F.lit("")))
-    terms = F.lit([r["term"] for r in rows])
-    names = F.lit([r["topic"] for r in rows])
-    at = F.array_position(F.transform(terms, lambda t: F.contains(low, t)), F.lit(True))
-    return F.when(at > 0, F.element_at(names, at.cast("int")))
+    found = first_group(F.lower(F.coalesce(text, F.lit(""))), [r["terms"] for r in rows])
+    return F.get(F.lit([r["topic"] for r in rows]), found)
 
 
 def x_csv_signals(spark: SparkSession, path: str, topics: DataFrame) -> DataFrame:

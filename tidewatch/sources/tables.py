@@ -2,7 +2,7 @@
 
 The views map the driver's generic tables onto the pipeline's data model:
 
-* ``signals``  one row per mention with text (documents joined to events)
+* ``signals``  one row per mention with text (all events, documents dealt to them in turn)
 * ``mentions`` one row per mention without text (all events)
 * ``mentions_long`` a multi-year daily series (orders)
 * ``audio`` / ``pixels`` per-item audio features and 4x4 RGB images (embeddings)
@@ -29,12 +29,23 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def signals(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Mention records with text.  ``doc_id`` is unique, so the join is 1:1 and
-    hash-partitions evenly on the id (no hot key)."""
+    """Mention records with text: every event, with document ``event_id`` modulo
+    the number of documents (ids are 0 .. n-1, so no key is hot).
+
+    Both sides are dealt out by the key over the session's shuffle partitions: the
+    join's output carries a text per event, far more than what is shuffled, so
+    partitions must not be merged by the size of its input.
+    """
     d = read_table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
     e = read_table(spark, sf_dir, "events").select("event_id", "ts", "event_type", "value")
-    return (d.join(e, d.doc_id == e.event_id, "inner")
-            .select(F.col("doc_id").alias("source_item_id"),
+    n = d.select("doc_id").count()
+    if not n:
+        e, n = e.limit(0), 1
+    e = e.withColumn("_doc", F.pmod("event_id", F.lit(n)))
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    d, e = d.repartition(parts, "doc_id"), e.repartition(parts, "_doc")
+    return (d.hint("merge").join(e, d.doc_id == e["_doc"], "inner")
+            .select(F.col("event_id").alias("source_item_id"),
                     F.col("event_type").alias("topic"),
                     F.col("source"),
                     F.col("lang"),
