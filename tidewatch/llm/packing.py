@@ -54,48 +54,52 @@ from tidewatch.llm.token_counts import split_safe
 
 CAPACITY = 4096
 END_ID = 1
-SLICE = 4 << 20          # bytes of text encoded together
-WORD_CACHE = 600_000     # distinct words that a worker remembers (some 130 MB)
+SLICE = 8 << 20          # bytes of text encoded together
+WORD_CACHE = 500_000     # words in a generation that a worker remembers (some 100 MB)
 GROUP_ROWS = 2_000       # pieces of one length that are numbered in one group
 
 _ENCODERS: dict = {}     # one per worker process and tokenizer
 _BREAKS = np.zeros(256, dtype=bool)
 _BREAKS[[0x20, 0x0A]] = True
-_SMALL = frozenset(b"abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ")
+_LETTER = np.array([c < 128 and chr(c).isalpha() for c in range(256)])
+_LOWER = np.array([c + 32 if 65 <= c <= 90 else c for c in range(256)], dtype=np.uint8)
+_STOP = np.zeros(256, dtype=bool)
+_STOP[list(b".,")] = True
+_ODD = np.array([c >= 128 or c == ord("<") for c in range(256)])
 
 
 # --- documents to pieces of token ids -------------------------------------------
 
 class Encoder:
-    """Token ids of whole documents, as the tokenizer library gives them."""
+    """Token ids of whole documents, as the tokenizer library gives them.
+
+    A worker keeps the ids of the words it has seen in two generations of
+    ``cache`` words: when the new one is full the old one is forgotten, and a word
+    found in the old one moves to the new one.
+    """
 
     def __init__(self, path: str, cache: int = WORD_CACHE):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        self.cache = cache
-        self.known: dict[bytes, bytes] | None = {} if split_safe(path) else None
+        self.cache, self.known, self.old = cache, {}, {}
+        self.by_word = split_safe(path)
         if path.endswith(".json"):
             from tokenizers import Tokenizer
-            tok = Tokenizer.from_file(path)
-            tok.no_truncation()
-            tok.no_padding()
-            self._ids = lambda texts: [e.ids for e in tok.encode_batch(texts, add_special_tokens=False)]
+            self._tok = Tokenizer.from_file(path)
+            self._tok.no_truncation()
+            self._tok.no_padding()
+            self._ids = lambda texts: [e.ids for e in self._tok.encode_batch(texts, add_special_tokens=False)]
         else:
             import sentencepiece
             sp = sentencepiece.SentencePieceProcessor(model_file=path)
             self._ids = lambda texts: sp.encode(texts, num_threads=1)
 
-    def _encode(self, texts: list[str]) -> list[bytes]:
-        return [np.array(ids, dtype="<u4").tobytes() for ids in self._ids(texts)]
-
     def encode(self, raw: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all documents ``raw[off[i]:off[i + 1]]``, ids per document)."""
-        if self.known is None:
-            rows = self._encode([raw[a:b].tobytes().decode() for a, b in zip(off[:-1].tolist(), off[1:].tolist())])
-            return np.frombuffer(b"".join(rows), dtype="<u4"), np.array([len(r) // 4 for r in rows], dtype=np.int64)
-        size = int(off[-1] - off[0])
-        buf = np.zeros(size + 16, dtype=np.uint8)
-        buf[:size] = raw[off[0]:off[-1]]
-        starts, ends = K.word_bounds(buf[:size], off - off[0], _BREAKS)
+        if not self.by_word:
+            rows = [np.array(ids, dtype="<u4") for ids in
+                    self._ids([raw[a:b].tobytes().decode() for a, b in zip(off[:-1].tolist(), off[1:].tolist())])]
+            return np.concatenate([np.zeros(0, dtype="<u4"), *rows]), np.array([len(r) for r in rows], dtype=np.int64)
+        buf, starts, ends, places = cut_words(raw, off)
         if not len(starts):
             return np.zeros(0, dtype="<u4"), np.zeros(len(off) - 1, dtype=np.int64)
         codes, words = distinct_words(buf, starts, ends - starts)
@@ -105,35 +109,73 @@ class Encoder:
         n = counts[codes]
         before = np.concatenate([[0], np.cumsum(n)])
         ids = table[np.arange(before[-1]) + np.repeat(first[codes] - before[:-1], n)]
-        return ids, np.diff(before[np.searchsorted(starts, off - off[0])])
+        return ids, np.diff(before[places])
 
     def _lookup(self, words: list[bytes]) -> list[bytes]:
-        """Ids of each word.  The stop at the end of an ASCII word is a token of
-        its own and case does not count there, so the word is remembered without
-        both (not where a special string may begin)."""
-        stems, stops = [], []
-        for w in words:
-            stop = b""
-            if w.isascii() and b"<" not in w:
-                w = w.lower()
-                if w[-1] in b".," and len(w) > 1 and w[-2] in _SMALL:
-                    w, stop = w[:-1], w[-1:]
-            stems.append(w)
-            stops.append(stop)
-        known = self.known
-        fresh = [w for w in dict.fromkeys([b".", b",", *stems]) if w not in known]
-        if len(known) + len(fresh) > self.cache:
-            known.clear()
-            fresh = list(dict.fromkeys([b".", b",", *stems]))
-        for i in range(0, len(fresh), 10_000):
-            known.update(zip(fresh[i:i + 10_000], self._encode([w.decode() for w in fresh[i:i + 10_000]])))
-        ends = {b"": b"", b".": known[b"."], b",": known[b","]}
-        return [known[w] + ends[stop] for w, stop in zip(stems, stops)]
+        known, old, rows, fresh = self.known, self.old, list(map(self.known.get, words)), []
+        for i, row in enumerate(rows):
+            if row is None:
+                row = old.get(words[i])
+                if row is None:
+                    fresh.append(i)
+                else:
+                    rows[i] = known[words[i]] = row
+        for i in range(0, len(fresh), 20_000):
+            part = fresh[i:i + 20_000]
+            for k, row in zip(part, self._encode_words([words[k] for k in part])):
+                rows[k] = known[words[k]] = row
+        if len(known) > self.cache:
+            self.known, self.old = {}, known
+        return rows
+
+    def _encode_words(self, words: list[bytes]) -> list[bytes]:
+        """Ids of each word, encoded as one text with a space between them; the
+        tokens' places in that text say whose they are."""
+        texts = [w.decode() for w in words]
+        found = self._tok.encode(" ".join(texts), add_special_tokens=False)
+        lengths = np.fromiter(map(len, texts), np.int64, len(texts))
+        starts = np.concatenate([[0], np.cumsum(lengths + 1)])
+        ids = np.array(found.ids, dtype="<u4")
+        # a token never crosses a space, and one that stands for no character (none here) would stay in order
+        at = np.fromiter((o[0] for o in found.offsets), np.int64, len(ids))
+        cuts = (np.searchsorted(at, starts) * 4).tolist()
+        data = ids.tobytes()
+        return [data[a:b] for a, b in zip(cuts[:-1], cuts[1:])]
+
+
+def cut_words(raw: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(bytes, starts, ends, first word of each document and the end) of the words
+    of documents ``raw[off[i]:off[i + 1]]``, with 16 bytes behind the last.
+
+    ASCII words are lower-cased, as the tokenizer does, and a stop behind a letter
+    at a word's end is a word of its own, as it is a token of its own; words with
+    ``<``, where a special string may begin, stay as they are.
+    """
+    size = int(off[-1] - off[0])
+    buf = np.zeros(2 * size + 16, dtype=np.uint8)   # lower-cased bytes, then the bytes as they are
+    buf[size:2 * size] = raw[off[0]:off[-1]]
+    own = buf[size:2 * size]
+    buf[:size] = _LOWER[own]
+    starts, ends = K.word_bounds(own, off - off[0], _BREAKS)
+    if not len(starts):
+        return buf, starts, ends, np.zeros(len(off), dtype=np.int64)
+    odd = np.zeros(size + 1, dtype=np.int32)
+    np.cumsum(_ODD[own], out=odd[1:])
+    plain = odd[starts] == odd[ends]
+    stop = plain & (ends - starts > 1) & _STOP[own[ends - 1]] & _LETTER[own[np.maximum(ends - 2, 0)]]
+    at = np.flatnonzero(stop)
+    points = ends[at] - 1
+    ends[at] = points
+    starts, ends, plain = np.insert(starts, at + 1, points), np.insert(ends, at + 1, points + 1), np.insert(plain, at + 1, True)
+    places = np.searchsorted(starts, off - off[0])
+    shift = np.where(plain, 0, size)
+    return buf, starts + shift, ends + shift, places
 
 
 def distinct_words(buf: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, list[bytes]]:
     """(number of each word's text, the texts).  ``buf`` has 16 bytes behind the last word."""
     codes = np.empty(len(starts), dtype=np.int64)
+    data = buf.tobytes()
     short = lengths <= 16
     s, n = starts[short], lengths[short]
     a, b = K.pack(buf, s, n, 0), K.pack(buf, s, n, 8)
@@ -145,10 +187,10 @@ def distinct_words(buf: np.ndarray, starts: np.ndarray, lengths: np.ndarray) ->
         _, first, own = np.unique(np.stack([a, b, n.astype(np.uint64)]), axis=1, return_index=True, return_inverse=True)
     codes[short] = own
     s, n = s[first], n[first]
-    words = [bytes(buf[i:j]) for i, j in zip(s.tolist(), (s + n).tolist())]
+    words = [data[i:j] for i, j in zip(s.tolist(), (s + n).tolist())]
     if not short.all():
         s, n = starts[~short], lengths[~short]
-        own, found = pd.factorize(np.array([bytes(buf[i:j]) for i, j in zip(s.tolist(), (s + n).tolist())], dtype=object))
+        own, found = pd.factorize(np.array([data[i:j] for i, j in zip(s.tolist(), (s + n).tolist())], dtype=object))
         codes[~short] = own + len(words)
         words += found.tolist()
     return codes, words
