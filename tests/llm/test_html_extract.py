@@ -62,7 +62,7 @@ def test_broken_markup_and_edges(spark):
         "<ul><li>a<li>b</ul><table><tr><td>c<td>d</table>": "a b c d",
         "<script>x<article>no</article></script>yes": "yes",
         "<div title=\"a > b\">in</div><a href='x>y'>link</a>": "in link",
-        "<article><header><h1>H</h1></header><p>b</p></article><article><p>c</p></article>": "H b",
+        "<article><header><h1>H</h1></header><p>b</p></article><article><p>c</p></article>": "H b c",
         "in<b>li</b>ne <i>x</i>": "inline x",
         "": "", None: "", "<nav>n</nav>": "", "<!-- open": "", "<p \"a'b>c</p>": "c",
     }
@@ -80,6 +80,9 @@ def test_nested_scopes_stay_whole():
         "<article><h1>T</h1><div itemprop=articleBody><p>a longer body</p></div></article>": "T a longer body",
         "<main><article><p>one</p></article><article><p>two</p></article></main><p>out</p>": "one two",
         "<article><p>b</p><article class=comment><p>a reader's remark</p></article></article>": "b",
+        "<article><p>b</p></article><article class=comment><p>a longer reader's remark</p></article>": "b",
+        "<article><p>part one</p></article><div>advert</div><article><p>two</p></article><main>three</main>": "part one two three",
+        "<article class='post related'><p>alone</p></article><p>out</p>": "alone",
     }
     assert [Page(h).content() for h in cases] == list(cases.values())
 
@@ -87,6 +90,8 @@ def test_nested_scopes_stay_whole():
 def test_very_long_and_deep_pages():
     deep = "<div>" * 5000 + "x" + "</div>" * 5000 + "<p>" + "word " * 200_000
     assert len(Page(deep).content()) == 1 + 5 * 200_000
+    open_only = "<div>" * 200_000 + "<b>" * 1000 + "x" + "<li>y" * 1000 + "</i>" * 100_000
+    assert Page(open_only).content() == "x" + " y" * 1000
     assert Page("<" * 50_000 + "a").content().endswith("a")
     assert Page("<a " + "b='c" * 5000).content() is not None
 

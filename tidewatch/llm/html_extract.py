@@ -20,8 +20,9 @@ become content.
 4. *Content.*  The remaining blocks, without those inside menus, headers,
    footers, sidebars, notices, adverts, forms and reader comments (by element
    or by class, id and role names), and if the page marks its article
-   (``article``, ``main``), only those inside the largest outermost one, with
-   all that is nested in it.
+   (``article``, ``main``), only those inside its outermost ones, all of them,
+   with all that is nested in them (outermost ones that by their names are comments
+   and the like only if there are no others).
 
 Character references are decoded, white space inside a block becomes one
 space, blocks are joined in page order by one space.  Nothing is capped; an
@@ -38,6 +39,7 @@ from __future__ import annotations
 
 import html as html_lib
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import pandas as pd
@@ -95,20 +97,28 @@ class Page:
     def __init__(self, source: str | None):
         self.root = Node("", None)
         self.blocks: list[tuple[Node, str, bool, int]] = []
-        self.scopes: dict[int, str] = {}
+        self.scopes: dict[int, bool] = {}   # True: its names say that it is no content
         self._parse(source or "")
 
     def _parse(self, source: str) -> None:
         # open elements: (tag, node, hidden, scope)
         stack = [("", self.root, False, 0)]
+        count: Counter = Counter()   # open elements by tag: no search through a deep stack
         text: list[str] = []
 
+        def close_from(k: int) -> None:
+            count.subtract(e[0] for e in stack[k:])
+            del stack[k:]
+
+        def innermost(*tags: str) -> int:
+            return next(k for k in range(len(stack) - 1, 0, -1) if stack[k][0] in tags)
+
         def flush() -> None:
             if text:
                 words = html_lib.unescape("".join(text)).split()
                 if words:
-                    at = next(e for e in reversed(stack) if e[0] not in _INLINE)
-                    self.blocks.append((at[1], " ".join(words), at[2], at[3]))
+                    # an inline element has its block's node
+                    self.blocks.append((stack[-1][1], " ".join(words), stack[-1][2], stack[-1][3]))
                 text.clear()
 
         pos, end = 0, len(source)
@@ -124,12 +134,10 @@ class Page:
                 continue
             tag = m[2].lower()
             if m[1]:
-                if any(e[0] == tag for e in stack[1:]):
+                if count[tag]:
                     if tag not in _INLINE:
                         flush()
-                    while stack[-1][0] != tag:
-                        stack.pop()
-                    stack.pop()
+                    close_from(innermost(tag))
                 continue
             if tag not in _INLINE:
                 flush()
@@ -139,16 +147,13 @@ class Page:
                 continue
             if tag in _VOID:
                 continue
-            if tag in _ENDS_P and any(e[0] == "p" for e in stack):
-                while stack.pop()[0] != "p":
-                    pass
+            if tag in _ENDS_P and count["p"]:
+                close_from(innermost("p"))
             for open_tag in _SELF_ENDING.get(tag, "").split():
-                for k in range(len(stack) - 1, 0, -1):
-                    if stack[k][0] in _LISTS:
-                        break
+                if count[open_tag]:
+                    k = innermost(open_tag, *_LISTS)
                     if stack[k][0] == open_tag:
-                        del stack[k:]
-                        break
+                        close_from(k)
             names = " ".join(a or b or c for kind, a, b, c in _ATTRIBUTE.findall(m[3])) if "=" in m[3] else ""
             _, node, hidden, scope = stack[-1]
             if tag not in _INLINE:
@@ -161,8 +166,9 @@ class Page:
                     hidden = True
                 if outside and (tag in ("article", "main") or re.search(r"(?:^|\s)(?:main|articleBody)(?:$|\s)", names)):
                     scope = len(self.scopes) + 1
-                    self.scopes[scope] = tag
+                    self.scopes[scope] = bool(names and _NO_CONTENT_NAMES.search(names))
             stack.append((tag, node, hidden, scope))
+            count[tag] += 1
         flush()
 
     def content(self, template: frozenset = frozenset()) -> str:
@@ -176,13 +182,11 @@ class Page:
     def _content(self, template: frozenset) -> str:
         left = [(text, scope) for node, text, hidden, scope in self.blocks
                 if not hidden and (not template or block_key(node.path(), text) not in template)]
-        size: dict[int, int] = {}
-        for text, scope in left:
-            size[scope] = size.get(scope, 0) + len(text)
-        marked = [s for s in size if s]
-        if marked:
-            best = max(marked, key=lambda s: (size[s], -s))
-            left = [x for x in left if x[1] == best]
+        # every outermost scope with text, but for comments and the like beside the article
+        scopes = {scope for _, scope in left if scope}
+        scopes = {scope for scope in scopes if not self.scopes[scope]} or scopes
+        if scopes:
+            left = [x for x in left if x[1] in scopes]
         return " ".join(text for text, _ in left)
 
 
