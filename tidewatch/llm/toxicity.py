@@ -4,8 +4,8 @@ Method: zstandard dictionaries for toxic and for ordinary text; every window
 of a text is compressed with either, and the bytes that the toxic dictionary
 saves, over calibrated thresholds, make the score.
 
-* **Dictionaries.**  The ordinary one is trained by the library on windows of
-  ordinary texts.  The toxic one has the same entropy tables and content plus
+* **Dictionaries.**  The ordinary one is trained by the library on all windows of
+  the sampled ordinary texts (too few windows to train on are its content as they are).  The toxic one has the same entropy tables and content plus
   the recurrent toxic words as its last, nearest part, so both compress
   ordinary text alike and a saving comes from toxic content.  Those words are
   found on the labelled sample: words with a five-byte gram that is far more
@@ -19,7 +19,7 @@ saves, over calibrated thresholds, make the score.
 
 The sample is bounded and documented: at most ``SAMPLE`` labelled texts of
 each class (those with the lowest hash of their id), of each at most
-``SAMPLE_BYTES`` bytes taken from evenly spaced places.  What reaches the
+``SAMPLE_BYTES`` characters taken from evenly spaced places.  What reaches the
 driver is that sample; the model is a few KB.  Every text is scored, in whole.
 
 Only the text is an input of a score.  Edge cases: null or empty text is one
@@ -44,14 +44,12 @@ from pyspark.sql import functions as F
 WINDOWS = (40, 64)
 LEVEL = 3
 SAMPLE = 3000            # labelled texts of each class
-SAMPLE_BYTES = 6000      # of each of them
+SAMPLE_BYTES = 6000      # characters of each of them
 ORDINARY_BYTES = 16384   # dictionary content
 TOXIC_BYTES = 2048
 CONTEXTS = 8             # different neighbours that a toxic word has at least
 THRESHOLD = 0.7
 
-_REPEAT_OFFSETS = b"\x01\0\0\0\x04\0\0\0\x08\0\0\0"   # end of a dictionary's entropy tables
-
 
 def windows(text: str, size: int) -> list[bytes]:
     """The text's words, lower-cased, joined by spaces into windows of at most
@@ -118,7 +116,7 @@ class Model:
         """Bytes that the toxic dictionary saves in each window."""
         if self._compress is None:
             def compressor(content):
-                d = zstandard.ZstdCompressionDict(content, dict_type=zstandard.DICT_TYPE_FULLDICT)
+                d = zstandard.ZstdCompressionDict(content, dict_type=zstandard.DICT_TYPE_AUTO)
                 d.precompute_compress(level=LEVEL)
                 return zstandard.ZstdCompressor(level=LEVEL, dict_data=d, write_content_size=False,
                                                 write_checksum=False, write_dict_id=False).compress
@@ -151,19 +149,18 @@ def train(sample: list[tuple[str, int]]) -> Model:
     prior = len(toxic) / len(sample) if sample else 0.0
     if not toxic or not ordinary:
         return Model(b"", b"", None, None, None, prior)
-    pieces = [w for t in ordinary for w in windows(t, 64)[:40]]
+    pieces = [w for t in ordinary for w in windows(t, 64)]
     try:
-        trained = zstandard.train_dictionary(ORDINARY_BYTES, pieces, k=64, d=8).as_bytes()
-        cut = trained.index(_REPEAT_OFFSETS) + len(_REPEAT_OFFSETS)
-    except (zstandard.ZstdError, ValueError):   # too few samples for the trainer
-        return Model(b"", b"", None, None, None, prior)
+        base = zstandard.train_dictionary(ORDINARY_BYTES, pieces, k=64, d=8).as_bytes()
+    except zstandard.ZstdError:   # too few windows for the trainer: they are the dictionary themselves
+        base = b"".join(pieces)[-ORDINARY_BYTES:]
     words, content = toxic_words(toxic, ordinary), b""
     for w in words:
         if len(content) + len(w) + 1 > TOXIC_BYTES:
             break
         if b" " + w + b" " not in content + b" ":
             content = b" " + w + content
-    model = Model(trained, trained[:cut] + trained[cut:] + content + b" ", None, None, None, prior)
+    model = Model(base, base + content + b" ", None, None, None, prior)
     x = np.array([model.features(t) for t, _ in sample])
     y = np.array([k for _, k in sample], dtype=float)
     mean, scale = x.mean(axis=0), x.std(axis=0) + 1e-9
