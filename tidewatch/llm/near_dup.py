@@ -315,13 +315,17 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     reps = copies.select(F.col("rep").alias("doc_id"))
 
     # one row per retained value of each distinct set
+    # dealt by value once: the lists are counted and joined back on the same shuffle
     entries = (known.where(F.col("n") >= LEAST_SET).select("doc_id", "n", "kept").join(reps, "doc_id", "left_semi")
-               .select(F.col("doc_id").alias("doc"), "n", F.explode("kept").alias("v")))
+               .select(F.col("doc_id").alias("doc"), "n", F.explode("kept").alias("v")).repartition("v"))
     lists = (entries.groupBy("v").agg(F.count(F.lit(1)).alias("c"), F.min(F.struct("doc", "n")).alias("lead"))
              .where("c > 1").select("v", "c", F.col("lead.doc").alias("leader"), F.col("lead.n").alias("leader_n")))
     listed = scratch.keep(entries.join(lists, "v"), "listed")
     in_lists = described.where("n >= 1").join(listed.select(F.col("doc").alias("doc_id")).distinct(), "doc_id", "left_semi")
     sketches = scratch.keep(in_lists.select("doc_id", "n", "sketch").dropDuplicates(["doc_id"]), "sketches")
+    # retained values and sketches of all documents are not read again
+    narrow = scratch.keep(described.select("doc_id", "n", "digest"), "narrow")
+    scratch.drop("described")
 
     # first round: the most frequent leader of each document
     first = (listed.where(F.col("doc") != F.col("leader")).where(_sizes_fit("n", "leader_n", percent))
@@ -335,6 +339,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     in_long = members.where((F.col("c") > short_list) & (F.col("hot") > allowed))
     likely = scratch.keep(likely_pairs(first, sketches, percent).unionByName(
         _partners_in_blocks(in_long, sketches, percent, block)).distinct(), "likely1")
+    scratch.drop("listed")
     links = verified(likely, rows, scratch, "first", shingle, percent)
     so_far = connected_components(links, scratch, "cc1")
 
@@ -342,9 +347,11 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     placed = (members.join(so_far.select(F.col("id").alias("doc"), "component"), "doc", "left")
               .withColumn("component", F.coalesce("component", "doc")))
     placed = scratch.keep(placed, "placed")
+    scratch.drop("members", "likely1")
     open_lists = (placed.groupBy("v").agg(F.min("component").alias("x"), F.max("component").alias("y"))
                   .where("x <> y").select("v"))
     still = scratch.keep(placed.join(open_lists, "v", "left_semi"), "open")
+    scratch.drop("placed")
     short = still.where(F.col("c") <= short_list)
     x, y = (short.select("v", *[F.col(k).alias(f"{k}_{s}") for k in ("doc", "n", "component", "hot")])
             for s in "xy")
@@ -358,13 +365,14 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
               .where(F.col("k") + F.col("hot") >= share).select("a", "b"))
     within = _long_list_pairs(still.where((F.col("c") > short_list) & (F.col("hot") > allowed)), sketches, percent, block)
     second = scratch.keep(likely_pairs(across, sketches, percent).unionByName(within).distinct(), "likely2")
+    scratch.drop("sketches", "open")
     links = links.unionByName(verified(second, rows, scratch, "second", shingle, percent))
     final = connected_components(links, scratch, "cc2")
-    scratch.drop("listed", "sketches", "members", "placed", "open", "likely1", "likely2")
+    scratch.drop("likely2")
 
     by_set = (copies.join(final.select(F.col("id").alias("rep"), "component"), "rep", "left")
               .select("digest", F.coalesce("component", "rep").alias("component")))
-    out = described.select("doc_id", F.col("n").alias("n_shingles"),
+    out = narrow.select("doc_id", F.col("n").alias("n_shingles"),
                            F.when(F.col("n") > 0, F.col("digest")).alias("digest"))
     return (out.join(by_set, "digest", "left")
             .select("doc_id", "n_shingles",
