@@ -61,7 +61,7 @@ OVERLAP = 3          # retained values that a link has to share
 SKETCH = 256         # uniform values of a document's estimate sketch
 SHORT_LIST = 32
 BLOCK = 1024         # members of a long list compared in one task
-LISTS = 16           # long lists that a document takes part in, its lowest
+SHARED = 6           # retained values that a link shares at least (see _long_list_pairs)
 FIRST_LISTS = 4      # those in which it first looks for partners
 FIRST_PARTNERS = 2
 LEAST_SET = 4        # smaller sets at similarity 0.8 are equal
@@ -264,13 +264,17 @@ def _long_list_pairs(members: DataFrame, sketches: DataFrame, percent: int, bloc
     """Likely pairs across components inside long lists.
 
     ``members`` (v, doc, n, component) are the lists that hold several
-    components.  A document takes part in its lowest ``LISTS`` of them; a link
-    right at the threshold shares 55 % of its values, so the chance that it
-    shares none of these is about 3e-6, and less above the threshold.  Members outside the largest component are compared with
-    all members, a block of at most about ``block`` of each in one task.
+    components.  A link without a common short list shares at least
+    ``SHARED`` of these (fewer only for sets so small that 0.6 n - 1 is less;
+    at the threshold with the chance of 1e-9 that a candidate is missed at
+    all).  So of h lists the first h - SHARED + 1 of both sides have one in
+    common (prefix filter), and a document takes part in those.  Members
+    outside the largest component are compared with all members, a block of at
+    most about ``block`` of each in one task.
     """
-    lists = F.slice(F.sort_array(F.collect_set("v")), 1, LISTS)
-    members = (members.groupBy("doc", "n", "component").agg(lists.alias("lists"))
+    least = F.least(F.lit(SHARED), F.greatest(F.lit(1), F.floor((F.col("n") * 6 - 10) / 10))).cast("int")
+    members = (members.groupBy("doc", "n", "component").agg(F.sort_array(F.collect_set("v")).alias("lists"))
+               .withColumn("lists", F.slice("lists", F.lit(1), F.greatest(F.lit(1), F.size("lists") - least + 1)))
                .select("doc", "n", "component", "lists", F.explode("lists").alias("v")))
     sizes = members.groupBy("v", "component").agg(F.count(F.lit(1)).alias("k"))
     main = sizes.groupBy("v").agg(F.max_by("component", F.struct("k", "component")).alias("main"),
