@@ -67,6 +67,23 @@ def test_small_source_reaches_its_target(spark):
     assert capped["small"] == 8.0
 
 
+def test_high_rates_equal_sql(spark):
+    # rates of about 0.51, 17, 101 and 760; a source without text, one that is null
+    sizes = {"big": (1500, 200), "mid": (50, 180), None: (30, 50), "small": (2, 100), "blank": (3, 0)}
+    rows, d = [], 0
+    for source, (n, length) in sizes.items():
+        for _ in range(n):
+            rows.append((d, "x" * length, "en", source, length))
+            d += 1
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    assert max(r.rate for r in source_rates(docs).collect()) > 300
+    got = sorted((r.doc_id, r.copy, r.mix_key) for r in mix_sources(docs).select("doc_id", "copy", "mix_key").collect())
+    con = duckdb.connect()
+    con.register("documents", docs.toPandas().astype({"source": object}))
+    want = sorted(con.execute(f"SELECT doc_id, copy, mix_key FROM ({MIX_SQL.format(docs='documents')})").fetchall())
+    assert got == want and len(got) > 1500
+
+
 def test_edges(spark):
     schema = "doc_id long, text string, source string, copy string, rate int"
     assert mix_sources(spark.createDataFrame([], schema)).collect() == []

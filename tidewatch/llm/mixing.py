@@ -107,17 +107,18 @@ WITH s AS (
 w AS (SELECT source, chars, CASE WHEN chars > 0 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS weight FROM s),
 r AS (
   SELECT source, CASE WHEN chars = 0 THEN 1.0::DOUBLE
-    ELSE least(weight / sum(weight) OVER () * sum(chars) OVER ()::DOUBLE * 1.0::DOUBLE / chars::DOUBLE, 8.0::DOUBLE) END AS rate
+    ELSE weight / sum(weight) OVER () * sum(chars) OVER ()::DOUBLE * 1.0::DOUBLE / chars::DOUBLE END AS rate
   FROM w),
+t AS (
+  SELECT source, rate, k, exp(k * ln(rate) - rate - lgamma(k + 1)) AS term
+  FROM (SELECT source, rate, unnest(range(0, greatest(64, ceil(rate + 10 * sqrt(rate) + 34)::BIGINT))) AS k FROM r)),
+c AS (SELECT *, sum(term) OVER (PARTITION BY source ORDER BY k) AS cdf FROM t),
+f AS (SELECT source, list(cdf ORDER BY k) FILTER (term > 1e-17 OR k + 1 <= rate) AS cdfs FROM c GROUP BY source),
 d AS (
-  SELECT docs.*, r.rate,
+  SELECT docs.*, f.cdfs,
     ('0x' || substr(md5('mix-1:' || coalesce(doc_id::VARCHAR, '~')), 1, 13))::BIGINT::DOUBLE / 4503599627370496.0::DOUBLE AS u
-  FROM {docs} AS docs JOIN r ON docs.source IS NOT DISTINCT FROM r.source),
-n AS (
-  SELECT *, CAST(len(list_filter(range(0, 64), lambda k:
-    exp(-rate) * list_sum(list_transform(range(0, k + 1), lambda j: pow(rate, j) / gamma(j + 1))) <= u
-    AND exp(-rate) * pow(rate, k) / gamma(k + 1) > 1e-17)) AS INTEGER) AS n
-  FROM d)
+  FROM {docs} AS docs JOIN f ON docs.source IS NOT DISTINCT FROM f.source),
+n AS (SELECT *, len(list_filter(cdfs, lambda x: x <= u))::INTEGER AS n FROM d)
 SELECT doc_id, text, lang, source, n_chars, copy, md5('mix-1:' || coalesce(doc_id::VARCHAR, '~') || ':' || copy) AS mix_key
 FROM (SELECT *, unnest(range(0, n))::INTEGER AS copy FROM n)
 """
