@@ -34,6 +34,8 @@ def samples():
     r = random.Random(8)
     bits = ["a", "b", "C", "é", "日本", "##", "|", "word", "\n", "\n\n", " \t", "x", " ", "end.", "!!", "\x0b", "\x1c"]
     out = [r.choice(["", " "]).join(r.choice(bits) + r.choice(["", " "]) for _ in range(r.randint(0, 150))) for _ in range(300)]
+    out += ["He kept a blog in Paris.\nPlease LOG IN.\néco cookie\nlog inn\n" + w * 39 + "end" + stop
+            for w in ("शब्द ", "word ") for stop in ("", "।", "۔", "？", "…", ".")]
     return out + [None, "", " \n ", "same line here.\n" * 40, "w " * 40_000]
 
 
@@ -52,11 +54,25 @@ def test_equals_sql(spark):
     assert sorted(map(tuple, out.collect())) == sorted(want)
 
 
+def test_samples_equal_sql(spark):
+    rows = [(d, t) for d, t in enumerate(samples()) if len(t or "") < 10_000]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    out = quality_report(df).drop("clean")
+    con = duckdb.connect()
+    con.register("documents", df.toPandas())
+    want = con.execute(f"SELECT {', '.join(out.columns)} FROM ({QUALITY_SQL})").fetchall()
+    assert sorted(map(tuple, out.collect())) == sorted(want)
+
+
 def test_line_rules_and_verdict(spark):
     fails = lambda s: line_fails(s, s.split())
     assert fails("Home | News | About") and fails("we use Cookies here.") and fails("BUY NOW AND SAVE MORE")
     assert fails("go! go! go! go! go!") and fails("w " * 30) and fails("a### b***")
     assert not fails("A plain sentence, with 10% of things & more words in it.") and not fails("NASA")
+    # phrases are whole words, stops those of any script
+    assert fails("Please log in first.") and fails("(Sign up) now.") and fails("ÉCOLE: cookie.")
+    assert not fails("He kept a blog in Paris.") and not fails("A design uploaded here.") and not fails("Le cookié est cuit.")
+    assert not fails("शब्द " * 39 + "अंत।") and not fails("كلمة " * 39 + "نهاية؟") and fails("शब्द " * 39 + "अंत")
     text = " ".join(f"Sentence{i} says{i} thing{i} of note{i}." for i in range(20))
     rows = [(1, text + "\nHome | News | About", "x"), (2, "\n".join(f"One{i} | two{i} | three{i}" for i in range(40)) + "\nEnd.", "y"),
             (3, None, "z"), (None, text, "n")]

@@ -9,8 +9,8 @@ Line rules (a line without a word is not judged and counts as nothing):
 * navigation: two or more separators (``| > » ·``), one per three words or more;
 * shouting: five words or more, all in upper case;
 * exclamation: five words or more and a ``!`` for every second word;
-* punctuation: thirty words or more without any of ``. ! ? ; :``;
-* boilerplate: a phrase of ``BOILERPLATE``.
+* punctuation: thirty words or more without a stop of any script (``STOPS``);
+* boilerplate: a phrase of ``BOILERPLATE`` as whole words.
 
 A document fails the base rules with fewer than 50 words, or with more than
 half of its words in three-word windows that come twice or more.  It is kept
@@ -39,14 +39,15 @@ from tidewatch.llm import kernels as K
 LEAST_WORDS = 50
 REPEAT_PERCENT = 50
 LOSS_PERCENT = 40
-BOILERPLATE = (r"cookie|privacy policy|all rights reserved|terms of (?:use|service)|enable javascript|"
+STOPS = ".!?;:…。！？；：．｡،؛؟۔।॥።፧။។՞։"
+BOILERPLATE = (r"cookies?|privacy policy|all rights reserved|terms of (?:use|service)|enable javascript|"
                r"subscribe|sign up|log in|copyright|licensed under")
 
 _WORD = re.compile(r"[^\x20\x09-\x0D]+")
 _SYMBOL = re.compile(r"[#*$%&|<>]")
 _SEPARATOR = re.compile(r"[|>»·]")
-_STOP = re.compile(r"[.!?;:]")
-_BOILERPLATE = re.compile(BOILERPLATE, re.IGNORECASE)
+_STOP = re.compile(f"[{STOPS}]")
+_BOILERPLATE = re.compile(rf"(?<!\w)(?:{BOILERPLATE})(?!\w)", re.IGNORECASE)
 _SYMBOL_BYTES = np.zeros(256, dtype=bool)
 _SYMBOL_BYTES[list(b"#*$%&|<>")] = True
 # bytes that begin a character and are no white space
@@ -146,8 +147,8 @@ l AS (SELECT doc_id, line, length(regexp_replace(line, '[\x20\x09-\x0D]', '', 'g
 j AS (SELECT *, 10 * length(regexp_replace(line, '[^#*$%&|<>]', '', 'g')) >= chars
         OR (length(regexp_replace(line, '[^|>»·]', '', 'g')) >= 2 AND 3 * length(regexp_replace(line, '[^|>»·]', '', 'g')) >= n)
         OR (n >= 5 AND (2 * length(regexp_replace(line, '[^!]', '', 'g')) >= n OR (line = upper(line) AND line <> lower(line))))
-        OR (n >= 30 AND NOT regexp_matches(line, '[.!?;:]'))
-        OR regexp_matches(line, '(?i)@BOILERPLATE@') AS bad
+        OR (n >= 30 AND NOT regexp_matches(line, '[@STOPS@]'))
+        OR regexp_matches(line, '(?i)(?:^|[^\p{L}\p{N}_])(?:@BOILERPLATE@)(?:[^\p{L}\p{N}_]|$)') AS bad
       FROM l WHERE n > 0),
 x AS (SELECT doc_id, coalesce(sum(chars) FILTER (bad), 0)::BIGINT AS lost_chars, (count(*) FILTER (bad))::BIGINT AS n_removed_lines,
         (count(*) - count(DISTINCT line))::BIGINT AS n_dup_lines FROM j GROUP BY doc_id),
@@ -166,7 +167,7 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
   NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words) AND 100 * lost_chars <= 40 * word_chars AS kept,
   n_removed_lines, lost_chars
 FROM z
-""".replace("@BOILERPLATE@", BOILERPLATE)
+""".replace("@BOILERPLATE@", BOILERPLATE).replace("@STOPS@", STOPS)
 
 
 def clean_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
