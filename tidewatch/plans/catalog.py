@@ -19,6 +19,7 @@ _MODULES = (
     "tidewatch.plans.q_adhoc",
     "tidewatch.plans.q_streaming",
     "tidewatch.plans.q_topics",
+    "tidewatch.plans.q_learned",
 )
 
 log = logging.getLogger(__name__)

@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tidewatch.plans.registry import register
+from tidewatch.plans.registry import ORACLE, register
 from tidewatch.session import scratch_path
 from tidewatch.sources import config as C
 from tidewatch.sources import ingest as I
@@ -158,6 +158,20 @@ def s9_post_api_ingest(spark, sf_dir):
     return I.x_api_signals(spark, _land(payload, spark, "post-api"))
 
 
+# --- S11: one table of several sources ------------------------------------------------------
+
+_SOURCES = ("s3_s4_track_ingest", "s5_r6_post_ingest", "s7_post_csv_ingest", "s9_post_api_ingest")
+
+
+@register("s11_source_union", "\nUNION ALL BY NAME\n".join(f"SELECT * FROM ({ORACLE[n]})" for n in _SOURCES))
+def s11_source_union(spark, sf_dir):
+    """Tracks, posts, the post export and the post API in one table; columns
+    that only tracks have are null elsewhere, a source that was not loaded is
+    left out."""
+    frames = [fn(spark, sf_dir) for fn in (s3_s4_track_ingest, s5_r6_post_ingest, s7_post_csv_ingest, s9_post_api_ingest)]
+    return I.union_signals([frames[0], None, *frames[1:]])
+
+
 # --- S1, K2, K3, P27, P28: the topic file --------------------------------------------------
 
 @register("s1_k2_k3_topic_file", """

@@ -9,6 +9,8 @@ from tidewatch.operators import scoring as SC
 from tidewatch.plans.fixture_sql import MENTIONS, with_ctes
 from tidewatch.plans.registry import register
 from tidewatch.session import scratch_path
+from tidewatch.sources import config as C
+from tidewatch.sources import ingest as I
 from tidewatch.sources import tables
 from tidewatch.streaming import mentions as ST
 
@@ -97,7 +99,28 @@ def t1_t2_continuous_rescoring(spark, sf_dir):
         "iteration", "mode", "top_topic", "mentions_seen")
 
 
-def _t8_sql() -> str:
+def _rescored_sql() -> str:
+    from tidewatch.plans.q_scoring import _MENTIONS_PREPARED, A2_COLS, _a1_sql, _a2_sql
+
+    return _a1_sql(_MENTIONS_PREPARED) + _a2_sql() + f"""
+SELECT {A2_COLS}, (SELECT arg_max(topic, (final_score_with_novelty, topic)) FROM final) AS logged_top_topic,
+       (SELECT CAST(count(*) AS BIGINT) FROM mentions WHERE topic IS NOT NULL) AS mentions_seen
+FROM final"""
+
+
+@register("t1_t2_rescored_topics", _rescored_sql())
+def t1_t2_rescored_topics(spark, sf_dir):
+    """Topic scores of the stream's state after its last batch, next to the
+    harvest log's last row: what one batch run over all events gives."""
+    base = scratch_path(spark, "rescored")
+    log = ST.continuous_rescoring(spark, landed_events(spark, sf_dir), base=base)
+    last = log.agg(F.max_by("top_topic", "iteration").alias("logged_top_topic"),
+                   F.max_by("mentions_seen", "iteration").alias("mentions_seen"))
+    return ST.rescored_topics(spark, base).crossJoin(F.broadcast(last))   # one row
+
+
+def _two_runs_sql() -> str:
+    """CTEs ``final`` (all events) and ``final_p`` (without the last day)."""
     import re
 
     from tidewatch.plans.fixture_sql import MENTIONS as M_CTE
@@ -113,7 +136,11 @@ def _t8_sql() -> str:
     cut = """,
 mentions_p AS (SELECT * FROM mentions
                WHERE CAST(date AS DATE) < (SELECT max(CAST(date AS DATE)) FROM mentions))"""
-    return head + rest + cut + prev + """,
+    return head + rest + cut + prev
+
+
+def _t8_sql() -> str:
+    return _two_runs_sql() + """,
 cr AS (SELECT topic, final_score_with_novelty AS s,
               row_number() OVER (ORDER BY final_score_with_novelty DESC, topic) AS r FROM final),
 pr AS (SELECT topic, final_score_with_novelty AS s,
@@ -134,3 +161,32 @@ def t8_run_over_run(spark, sf_dir):
     curr = SC.topic_scores_from_records(m)
     prev = SC.topic_scores_from_records(m.where(F.col("date") < F.lit(last)))
     return ST.compare_runs(prev, curr)
+
+
+_LOG = "iteration long, mode string, top_topic string, topic_model_method string"
+
+
+def _log_sql() -> str:
+    top = "(SELECT arg_max(topic, (final_score_with_novelty, topic)) FROM {0})"
+    return _two_runs_sql() + f"""
+SELECT CAST(1 AS BIGINT) AS iteration, 'batch' AS mode, {top.format('final_p')} AS top_topic,
+       'n/a' AS topic_model_method, CAST(0 AS BIGINT) AS rows_before
+UNION ALL SELECT CAST(2 AS BIGINT), 'batch', {top.format('final')}, 'n/a', CAST(1 AS BIGINT)"""
+
+
+@register("s13_s14_harvest_log", _log_sql())
+def s13_s14_harvest_log(spark, sf_dir):
+    """Two harvest runs (without the last day, then all events), the second one
+    repeated as after a failure; the log is scanned before each run, first
+    where it does not exist."""
+    m = tables.mentions(spark, sf_dir).withColumn("text", F.lit(""))
+    last = m.agg(F.max("date")).first()[0]
+    path, seen = f"{scratch_path(spark, 'harvest')}/log", []
+    for run, records in enumerate((m.where(F.col("date") < F.lit(last)), m)):
+        seen.append(C.load_table_or_empty(spark, path, _LOG).count())
+        top = SC.topic_scores_from_records(records).agg(
+            F.max_by("topic", F.struct("final_score_with_novelty", "topic")).alias("t")).first()["t"]
+        for _ in range(run + 1):
+            I.append_harvest_log(spark, path, run, "batch", top, "n/a")
+    before = F.element_at(F.array(*[F.lit(n) for n in seen]), F.col("iteration").cast("int"))
+    return C.load_table_or_empty(spark, path, _LOG).withColumn("rows_before", before)

@@ -154,6 +154,13 @@ def continuous_rescoring(spark: SparkSession, landed_path: str, name: str = "res
     return spark.read.parquet(log)
 
 
+def rescored_topics(spark: SparkSession, base: str) -> DataFrame:
+    """The topic scores of the last version of the running state under ``base``."""
+    state = spark.read.parquet(f"{base}/state")
+    last = state.agg(F.max("batch_id")).first()[0]   # a partition column: one small number
+    return SC.topic_scores(SC.source_summary_from_partials(state.where(F.col("batch_id") == last).drop("batch_id")))
+
+
 # --- T8: run-over-run comparison ---------------------------------------------------
 
 def compare_runs(previous: DataFrame, current: DataFrame, score: str = "final_score_with_novelty") -> DataFrame:
