@@ -4,8 +4,10 @@ import random
 import zlib
 
 import pytest
+import zstandard
 
-from tidewatch.llm.toxicity import Model, score_documents, toxicity, train, windows
+from tidewatch.llm.toxicity import (LEVEL, WINDOWS, Model, score_documents, stretches, toxicity, train, typical_grams,
+                                    windows)
 
 SF = "/root/testdata/sf0.1"
 
@@ -61,6 +63,47 @@ def test_labels_of_held_out_rows_change_nothing(spark):
     assert auc([(one[d], labels[d][1]) for d in held]) > 0.95
 
 
+def planted(n=900):
+    r = random.Random(3)
+    vocab = ["".join(r.choice("abcdefghij") for _ in range(5)) for _ in range(400)]
+    rows = []
+    for d in range(n):
+        w = [r.choice(vocab) for _ in range(60)]
+        for _ in range(3 if d % 4 == 0 else 0):
+            w.insert(r.randrange(60), r.choice(["zzgrumpf", "qqknarz", "vvplonk", "wwschtr"]))
+        rows.append((" ".join(w), int(d % 4 == 0)))
+    return rows
+
+
+def test_both_dictionaries_are_trained():
+    rows = planted()
+    model = train(rows)
+    magic = b"\x37\xa4\x30\xec"   # of a dictionary that the library trained
+    own = model.toxic[len(model.ordinary):]
+    assert model.ordinary.startswith(magic) and own.startswith(magic) and model.toxic.startswith(model.ordinary)
+    toxic, ordinary = ([t for t, y in rows if y == k] for k in (1, 0))
+    grams = typical_grams(toxic, ordinary)
+    left = [stretches(t, grams) for t in toxic]
+    assert all(left) and not any(stretches(t, grams) for t in ordinary)
+    assert set(b" ".join(left).split()) <= {b"zzgrumpf", b"qqknarz", b"vvplonk", b"wwschtr"}
+    assert b"grump" in own and b"grump" not in model.ordinary
+
+
+def test_savings_equal_direct_compression():
+    rows = planted(400)
+    model = train(rows)
+
+    def length(content, data):
+        d = zstandard.ZstdCompressionDict(content)
+        return len(zstandard.ZstdCompressor(level=LEVEL, dict_data=d, write_content_size=False, write_checksum=False,
+                                            write_dict_id=False).compress(data))
+    for text in [rows[0][0], rows[1][0], "", "Zzgrumpf qqknarz!"]:
+        for size in WINDOWS:
+            want = [length(model.ordinary, w) - length(model.toxic, w) for w in windows(text, size)]
+            assert model.savings(text, size).tolist() == want
+    assert model.score(rows[0][0]) > 0.7 > model.score(rows[1][0])
+
+
 def test_edges(spark):
     lab = "doc_id long, quality int, toxic int"
     docs = spark.createDataFrame([(1, "a b"), (2, None), (None, ""), (3, "x" * 20_000), (3, "x" * 20_000)],

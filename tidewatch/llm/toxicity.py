@@ -4,13 +4,16 @@ Method: zstandard dictionaries for toxic and for ordinary text; every window
 of a text is compressed with either, and the bytes that the toxic dictionary
 saves, over calibrated thresholds, make the score.
 
-* **Dictionaries.**  The ordinary one is trained by the library on all windows of
-  the sampled ordinary texts (too few windows to train on are its content as they are).  The toxic one has the same entropy tables and content plus
-  the recurrent toxic words as its last, nearest part, so both compress
-  ordinary text alike and a saving comes from toxic content.  Those words are
-  found on the labelled sample: words with a five-byte gram that is far more
-  frequent in toxic texts, seen in many different contexts (copies of one text
-  share their contexts and so do not count).
+* **Dictionaries.**  Both are trained by the library on the labelled sample:
+  the ordinary one on all windows of ordinary texts, the toxic one on the toxic
+  texts, of each the stretches that ordinary text lacks (whole toxic texts
+  train little else than ordinary words).  A stretch is a run of five-byte
+  grams that are far more frequent in toxic texts and seen in many different
+  contexts (copies of one text share their contexts and so do not count).
+  Ordinary words have to be as cheap on either side, or their noise would hide
+  the toxic ones, so what a window saves is its length after the ordinary
+  dictionary minus its length after both, the toxic one nearest.  Too few
+  samples to train on are the dictionary themselves.
 * **Windows** are whole words up to ``WINDOWS`` bytes; a text is cut twice, by
   a shorter and a longer size, and read to its end.
 * **Calibration.**  Per size, the largest savings and the shares of windows
@@ -47,7 +50,7 @@ SAMPLE = 3000            # labelled texts of each class
 SAMPLE_BYTES = 6000      # characters of each of them
 ORDINARY_BYTES = 16384   # dictionary content
 TOXIC_BYTES = 2048
-CONTEXTS = 8             # different neighbours that a toxic word has at least
+CONTEXTS = 8             # different neighbours that a gram of a toxic word has at least
 THRESHOLD = 0.7
 
 
@@ -80,8 +83,8 @@ def _grams(word: bytes) -> list[bytes]:
     return [w[i:i + 5] for i in range(len(w) - 4)]
 
 
-def toxic_words(toxic: list[str], ordinary: list[str]) -> list[bytes]:
-    """Words typical of toxic texts, most contexts first."""
+def typical_grams(toxic: list[str], ordinary: list[str]) -> set[bytes]:
+    """Grams that recur, in different contexts, in toxic texts only."""
     def document_counts(texts):
         c: Counter = Counter()
         for t in texts:
@@ -94,11 +97,31 @@ def toxic_words(toxic: list[str], ordinary: list[str]) -> list[bytes]:
     for t in toxic:
         ws = [b"", *_words(t), b""]
         for before, w, after in zip(ws, ws[1:], ws[2:]):
-            if len(w) >= 3 and (w in contexts or any(g in typical for g in _grams(w))):
-                contexts.setdefault(w, set()).add((before, after))
+            for g in _grams(w):
+                if g in typical:
+                    contexts.setdefault(g, set()).add((before, after))
     least = min(CONTEXTS, max(2, p // 50))
-    found = [(len(c), w) for w, c in contexts.items() if len(c) >= least]
-    return [w for _, w in sorted(found, key=lambda x: (-x[0], x[1]))]
+    return {g for g, c in contexts.items() if len(c) >= least}
+
+
+def stretches(text: str, grams: set[bytes]) -> bytes:
+    """The parts of the text's words that ``grams`` cover, one after the other."""
+    out = b""
+    for word in _words(text):
+        w, end = b" " + word + b" ", 0
+        for i, g in enumerate(_grams(word)):
+            if g in grams:
+                out += w[max(i, end):i + 5]
+                end = i + 5
+    return out
+
+
+def _dictionary(size: int, samples: list[bytes], k: int, d: int) -> bytes:
+    """A dictionary trained by the library; with too few samples, they themselves."""
+    try:
+        return zstandard.train_dictionary(size, samples, k=k, d=d).as_bytes()
+    except zstandard.ZstdError:
+        return b"".join(dict.fromkeys(samples))[-size:]
 
 
 class Model:
@@ -149,18 +172,11 @@ def train(sample: list[tuple[str, int]]) -> Model:
     prior = len(toxic) / len(sample) if sample else 0.0
     if not toxic or not ordinary:
         return Model(b"", b"", None, None, None, prior)
-    pieces = [w for t in ordinary for w in windows(t, 64)]
-    try:
-        base = zstandard.train_dictionary(ORDINARY_BYTES, pieces, k=64, d=8).as_bytes()
-    except zstandard.ZstdError:   # too few windows for the trainer: they are the dictionary themselves
-        base = b"".join(pieces)[-ORDINARY_BYTES:]
-    words, content = toxic_words(toxic, ordinary), b""
-    for w in words:
-        if len(content) + len(w) + 1 > TOXIC_BYTES:
-            break
-        if b" " + w + b" " not in content + b" ":
-            content = b" " + w + content
-    model = Model(base, base + content + b" ", None, None, None, prior)
+    base = _dictionary(ORDINARY_BYTES, [w for t in ordinary for w in windows(t, 64)], 64, 8)
+    grams = typical_grams(toxic, ordinary)
+    # the trainer takes samples of eight bytes or more
+    own = _dictionary(TOXIC_BYTES, [s.ljust(8) for s in (stretches(t, grams) for t in toxic) if s], 32, 6)
+    model = Model(base, base + own + b" ", None, None, None, prior)
     x = np.array([model.features(t) for t, _ in sample])
     y = np.array([k for _, k in sample], dtype=float)
     mean, scale = x.mean(axis=0), x.std(axis=0) + 1e-9
