@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tidewatch.operators import forecast as FC
+from tidewatch.operators import ridge as RG
 from tidewatch.operators import series as S
 from tidewatch.plans.fixture_sql import MENTIONS, MENTIONS_LONG, with_ctes
 from tidewatch.plans.registry import register
@@ -137,6 +138,71 @@ def f5_momentum_backtest(spark, sf_dir):
     return S.momentum_backtest(S.weekly_series(_filled(_long(spark, sf_dir))))
 
 
+# The ridge's evidence iteration as a recursive query over running sums of every prefix.
+_RIDGE = """,
+w0 AS (SELECT topic, week_end, mentions AS y, row_number() OVER (PARTITION BY topic ORDER BY week_end) - 1.0::DOUBLE AS t FROM weekly),
+w1 AS (SELECT topic, t + 1 AS n, lead(y) OVER o AS nxt, sum(y) OVER o AS sy, sum(y * y) OVER o AS yy, sum(t * y) OVER o AS ty
+       FROM w0 WINDOW o AS (PARTITION BY topic ORDER BY week_end)),
+pre AS (SELECT topic, n, nxt, sy / n AS ym, (n - 1) / 2 AS xm, n * (n * n - 1) / 12 AS sxx, ty - (n - 1) / 2 * sy AS sxy,
+               greatest(0.0, yy - sy * sy / n) AS syy FROM w1),
+fit AS (
+  SELECT *, 1.0 / (syy / n + 2.220446049250313e-16) AS alpha, 1.0::DOUBLE AS lam, NULL::DOUBLE AS prev, 0 AS it, false AS done FROM pre
+  UNION ALL
+  SELECT topic, n, nxt, ym, xm, sxx, sxy, syy,
+         (n - gamma + 2e-6) / (greatest(0.0, syy - 2 * c * sxy + c * c * sxx) + 2e-6), (gamma + 2e-6) / (c * c + 2e-6),
+         c, it + 1, coalesce(abs(prev - c) < 1e-3, false)
+  FROM (SELECT *, CASE WHEN sxx > 0 THEN sxy / (sxx + lam / alpha) ELSE 0.0 END AS c,
+               alpha * sxx / (lam + alpha * sxx) AS gamma FROM fit WHERE NOT done AND it < 300)),
+ends AS (SELECT *, CASE WHEN sxx > 0 THEN sxy / (sxx + lam / alpha) ELSE 0.0 END AS slope
+         FROM fit WHERE done OR it = 300),
+ridge AS (SELECT topic, CAST(step AS BIGINT) AS step, greatest(0.0, ym - slope * xm + slope * (n - 1 + step)) AS forecast
+          FROM ends, range(1, 9) r(step) WHERE nxt IS NULL),
+ridge_mae AS (
+  SELECT topic, CASE WHEN max(n) < 5 THEN 1.0
+                ELSE avg(CASE WHEN n >= 3 THEN abs(nxt - greatest(0.0, ym - slope * xm + slope * n)) END) END AS mae
+  FROM ends GROUP BY topic)"""
+
+_MOMENTUM = """,
+mx AS (SELECT topic, t, y, lag(y, 1) OVER o AS p1, lag(y, 2) OVER o AS p2, lead(y) OVER o AS nxt
+       FROM w0 WINDOW o AS (PARTITION BY topic ORDER BY week_end)),
+mom AS (SELECT topic, CAST(step AS BIGINT) AS step, greatest(0.0, y + step * coalesce(y - p1, 0)) AS forecast
+        FROM mx, range(1, 9) r(step) WHERE nxt IS NULL),
+mom_mae AS (SELECT topic, CASE WHEN count(*) < 5 THEN 1.0
+                          ELSE avg(CASE WHEN t >= 3 THEN abs(y - greatest(0.0, 2 * p1 - p2)) END) END AS mae
+            FROM mx GROUP BY topic)"""
+
+_RECURSIVE = (_LONG_AS_MENTIONS + _DAILY + _WEEKLY).replace("WITH ", "WITH RECURSIVE ", 1) + _RIDGE
+
+
+@register("f2_ridge_forecast", _RECURSIVE + """
+SELECT topic, step, round(forecast, 6) AS forecast FROM ridge""")
+def f2_ridge_forecast(spark, sf_dir):
+    """Eight weeks of the Bayesian ridge trend per topic, over years of orders."""
+    return RG.ridge_forecast(S.weekly_series(_filled(_long(spark, sf_dir))))
+
+
+@register("f5_ridge_backtest", _RECURSIVE + """
+SELECT topic, round(mae, 6) AS mae FROM ridge_mae""")
+def f5_ridge_backtest(spark, sf_dir):
+    """Mean one-step error of the ridge trend over all prefixes of each series."""
+    return RG.ridge_backtest(S.weekly_series(_filled(_long(spark, sf_dir))))
+
+
+@register("f1_ridge_momentum_forecast", _RECURSIVE + _MOMENTUM + """,
+k AS (SELECT topic, 1.0 / greatest(r.mae, 1e-6) AS a, 1.0 / greatest(m.mae, 1e-6) AS b
+      FROM ridge_mae r JOIN mom_mae m USING (topic))
+SELECT topic, step, round((a * r.forecast + b * m.forecast) / (a + b), 6) AS forecast,
+       round(a / (a + b), 6) AS ridge_weight, round(b / (a + b), 6) AS momentum_weight
+FROM ridge r JOIN mom m USING (topic, step) JOIN k USING (topic)""")
+def f1_ridge_momentum_forecast(spark, sf_dir):
+    """The two closed-form models weighted by their backtests, step by step."""
+    weekly = S.weekly_series(_filled(_long(spark, sf_dir))).checkpoint()
+    momentum = S.momentum_forecast(weekly).withColumnRenamed("momentum_forecast", "forecast")
+    error = S.momentum_backtest(weekly).withColumnRenamed("momentum_mae", "mae")
+    return RG.weighted_forecast({"ridge": (RG.ridge_forecast(weekly), RG.ridge_backtest(weekly)),
+                                 "momentum": (momentum, error)})
+
+
 @register("f6_temporal_forecast")
 def f6_temporal_forecast(spark, sf_dir):
     """Ensemble forecast summary per topic over the 30-day event stream."""
