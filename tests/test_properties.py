@@ -121,3 +121,30 @@ def test_checked_broadcast_falls_back_above_bound(spark):
     assert sorted(r["v"] for r in hinted.collect()) == sorted(r["v"] for r in plain.collect())
     assert "BroadcastHashJoin" in hinted._jdf.queryExecution().executedPlan().toString()
     assert plain.count() == 10
+
+
+def test_whole_images_and_pixel_rows_have_the_same_statistics(spark):
+    import random
+
+    from tidewatch.operators import modal as M
+
+    rng = random.Random(4)
+    shapes = {"a": (4, 4), "row": (5, 1), "column": (1, 6), "dot": (1, 1), "wide": (7, 3), "black": (2, 2), "gap": (3, 3)}
+    whole, rows = [], []
+    for name, (w, h) in shapes.items():
+        ch = [[0.0 if name == "black" else rng.random() for _ in range(w * h)] for _ in range(3)]
+        if name == "gap":
+            for c in ch:
+                c[8] = None
+        whole.append((name, w, *ch))
+        rows += [(name, i % w, i // w, *(c[i] for c in ch)) for i in range(w * h)]
+    images = spark.createDataFrame(whole, "image string, width int, r array<double>, g array<double>, b array<double>")
+    pixels = spark.createDataFrame(rows, "image string, x int, y int, r double, g double, b double")
+    want = {r["image"]: r.asDict() for r in M.pixel_stats(pixels).collect()}
+    got = {r["image"]: r.asDict() for r in M.image_stats(images).collect()}
+    assert got.keys() == want.keys()
+    for k in want:
+        for c in M.VISUAL_COLS:
+            assert abs(got[k][c] - want[k][c]) < 1e-9, (k, c)
+    plan = M.image_stats(images)._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in plan and "Exchange" not in plan

@@ -98,11 +98,50 @@ def pixel_stats(pixels: DataFrame) -> DataFrame:
                                    + F.coalesce(F.avg("_dy"), F.lit(0.0)))).alias("visual_edge_density"))
 
 
-def image_features_for(records: DataFrame, pixels: DataFrame, key: str = "media_url") -> DataFrame:
-    """Statistics once per distinct referenced media key."""
+def _mean(values):
+    """Mean of an array's values that are not null (null if there are none)."""
+    kept = F.filter(values, lambda v: v.isNotNull())
+    return F.when(F.size(kept) > 0, F.aggregate(kept, F.lit(0.0), lambda s, v: s + v) / F.size(kept))
+
+
+def image_stats(images: DataFrame) -> DataFrame:
+    """A12 on whole images (image, width, r, g, b; row-major channel arrays):
+    one projection without pixel rows, windows or shuffles.  The table has one
+    row per image; pixels with a null channel take part in nothing."""
+    def per_pixel(f):
+        return F.transform(F.arrays_zip("r", "g", "b"), lambda p: f(p["r"], p["g"], p["b"]))
+
+    def whole(r, g, b, value):   # least and greatest would skip a null channel
+        return F.when(r.isNotNull() & g.isNotNull() & b.isNotNull(), value)
+
+    def saturation(r, g, b):
+        top = F.greatest(r, g, b)
+        return whole(r, g, b, (top - F.least(r, g, b)) / F.when(top == 0, F.lit(1.0)).otherwise(top))
+
+    px = images.select("image", "width", per_pixel(lambda r, g, b: (r + g + b) / 3.0).alias("_gray"),
+                       per_pixel(saturation).alias("_sat"), per_pixel(lambda r, g, b: whole(r, g, b, F.abs(r - g))).alias("_rg"),
+                       per_pixel(lambda r, g, b: F.abs(0.5 * (r + g) - b)).alias("_yb"))
+    gray, width, n = F.col("_gray"), F.col("width"), F.size("_gray")
+    # a pixel less its left neighbour (none in the first column) and less the one above
+    across = F.transform(F.slice(gray, F.lit(2), F.greatest(n - 1, F.lit(0))), lambda v, i: F.when(
+        F.pmod(i + 1, width) != 0, F.abs(v - F.get(gray, i))))
+    down = F.transform(F.slice(gray, width + 1, F.greatest(n - width, F.lit(0))), lambda v, i: F.abs(v - F.get(gray, i)))
+    px = px.select("image", _mean(gray).alias("visual_brightness"), _mean(F.col("_sat")).alias("visual_saturation"),
+                   "_rg", "_yb", _mean(F.col("_rg")).alias("_mrg"), _mean(F.col("_yb")).alias("_myb"),
+                   _mean(across).alias("_dx"), _mean(down).alias("_dy"))
+    spread = [_mean(F.transform(c, lambda v: (v - F.col(m)) * (v - F.col(m)))) for c, m in (("_rg", "_mrg"), ("_yb", "_myb"))]
+    colorful = (F.sqrt(spread[0] + spread[1]) + 0.3 * F.sqrt(F.col("_mrg") ** 2 + F.col("_myb") ** 2)) / 1.5
+    return px.select("image", "visual_brightness", F.least(F.lit(1.0), colorful).alias("visual_colorfulness"), "visual_saturation",
+                     F.least(F.lit(1.0), 6.0 * (F.coalesce("_dx", F.lit(0.0)) + F.coalesce("_dy", F.lit(0.0))))
+                     .alias("visual_edge_density"))
+
+
+def image_features_for(records: DataFrame, pictures: DataFrame, key: str = "media_url") -> DataFrame:
+    """Statistics once per distinct referenced media key.  ``pictures`` is a
+    table of whole images (see ``image_stats``) or a long pixel table."""
     keys = records.where(F.col(key).isNotNull()).select(F.col(key).alias("image")).distinct()
-    used = pixels.join(keys, "image", "left_semi")
-    return pixel_stats(used).withColumnRenamed("image", key)
+    used = pictures.join(keys, "image", "left_semi")
+    return (image_stats(used) if "width" in pictures.columns else pixel_stats(used)).withColumnRenamed("image", key)
 
 
 # --- P11 / P12: visual features per record ------------------------------------

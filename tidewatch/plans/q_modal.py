@@ -26,7 +26,7 @@ def modal_records(spark, sf_dir, scale: bool = False):
 
 def enriched_records(spark, sf_dir, genre_keywords=params.FIXTURE_GENRE_KEYWORDS, scale: bool = False):
     rec = modal_records(spark, sf_dir, scale)
-    img = M.image_features_for(rec, tables.pixels(spark, sf_dir))
+    img = M.image_features_for(rec, tables.images(spark, sf_dir))
     return M.enrich(rec, img, genre_keywords)
 
 
@@ -189,7 +189,7 @@ def p7_p9_topic_defaults(spark, sf_dir):
 @register("a12_pixel_stats", with_ctes(PIXELS, IMG_SQL.replace("SELECT KEYS", "SELECT image FROM pixels"))
           + f"SELECT image, {_r(M.VISUAL_COLS)} FROM img")
 def a12_pixel_stats(spark, sf_dir):
-    return M.pixel_stats(tables.pixels(spark, sf_dir))
+    return M.image_stats(tables.images(spark, sf_dir))
 
 
 @register("j11_image_features_for_records",
@@ -198,7 +198,7 @@ def a12_pixel_stats(spark, sf_dir):
           + f"SELECT image AS media_url, {_r(M.VISUAL_COLS)} FROM img")
 def j11_image_features_for_records(spark, sf_dir):
     rec = tables.signals(spark, sf_dir).withColumn("media_url", F.col("source_item_id"))
-    return M.image_features_for(rec, tables.pixels(spark, sf_dir))
+    return M.image_features_for(rec, tables.images(spark, sf_dir))
 
 
 _VIS_OUT = M.VISUAL_COLS + ("visual_energy", "visual_innovation")

@@ -110,3 +110,16 @@ def pixels(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.floor(F.col("px.p") / IMAGE_SIDE).cast("int").alias("y"),
                     F.col("px.r").alias("r"), F.col("px.g").alias("g"),
                     F.col("px.b").alias("b")))
+
+
+def images(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per image of ``pixels``: (image, width, r, g, b), the channels as
+    row-major arrays; values that the embedding lacks are null."""
+    emb = read_table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("image"), "embedding")
+
+    def channel(k):
+        return F.transform(F.sequence(F.lit(0), F.lit(IMAGE_SIDE * IMAGE_SIDE - 1)), lambda p: (F.least(F.greatest(
+            F.get("embedding", p * 3 + k).cast("double"), F.lit(-1.0)), F.lit(1.0)) + 1.0) / 2.0)
+
+    return (emb.where("embedding IS NOT NULL")
+            .select("image", F.lit(IMAGE_SIDE).alias("width"), *[channel(k).alias(c) for k, c in enumerate("rgb")]))
