@@ -102,3 +102,32 @@ def test_simple_tree_matching():
     score, pairs = simple_tree_matching(a, b)
     assert score == 5 and {n.path() for n, _ in pairs} == {"", "/body", "/body/div.x", "/body/div.x/p", "/body/footer"}
     assert simple_tree_matching(Node("a", None), Node("b", None)) == (0, [])
+
+
+def test_tree_matching_against_all_matchings_and_many_siblings():
+    def size(x, y):
+        if x.label != y.label:
+            return 0
+        one, two = list(x.children.values()), list(y.children.values())
+        best = [[0] * (len(two) + 1) for _ in range(len(one) + 1)]
+        for i, m in enumerate(one):
+            for j, n in enumerate(two):
+                best[i + 1][j + 1] = max(best[i][j + 1], best[i + 1][j], best[i][j] + size(m, n))
+        return best[-1][-1] + 1
+
+    r = random.Random(9)
+
+    def tree(depth):
+        paths = [""]
+        for _ in range(depth * 6):
+            paths.append(r.choice(paths) + "/" + r.choice("abcdef"))
+        return _tree(paths)
+
+    for _ in range(300):
+        x, y = tree(r.randrange(4)), tree(r.randrange(4))
+        score, pairs = simple_tree_matching(x, y)
+        assert score == size(x, y) == len(pairs)
+        assert all(m.label == n.label and m.depth == n.depth for m, n in pairs)
+    labels = [f"/x{i}" for i in range(20_000)]
+    assert simple_tree_matching(_tree([""] + labels), _tree([""] + labels[::-1]))[0] == 2
+    assert simple_tree_matching(_tree([""] + labels), _tree([""] + labels[1::2]))[0] == 10_001

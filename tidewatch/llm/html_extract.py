@@ -198,26 +198,36 @@ def simple_tree_matching(a: Node, b: Node) -> tuple[int, list[tuple[Node, Node]]
     """Size of the largest order-preserving top-down matching and its pairs."""
     if a.label != b.label:
         return 0, []
-    x, y = list(a.children.values()), list(b.children.values())
-    # siblings carry distinct labels, so a child can match one counterpart only
-    best: list[list[tuple[int, tuple]]] = [[(0, ())] * (len(y) + 1) for _ in range(len(x) + 1)]
-    found: dict[tuple[int, int], tuple[int, list]] = {}
-    place = {n.label: j for j, n in enumerate(y)}
-    for i, n in enumerate(x):
-        j = place.get(n.label)
-        if j is not None:
-            found[i, j] = simple_tree_matching(n, y[j])
-    for i in range(1, len(x) + 1):
-        for j in range(1, len(y) + 1):
-            best[i][j] = max(best[i - 1][j], best[i][j - 1], key=lambda c: c[0])
-            pair = found.get((i - 1, j - 1))
-            if pair and best[i - 1][j - 1][0] + pair[0] > best[i][j][0]:
-                best[i][j] = best[i - 1][j - 1][0] + pair[0], (best[i - 1][j - 1][1], (i - 1, j - 1))
-    score, chain = best[len(x)][len(y)]
+    # siblings carry distinct labels, so a child can match one counterpart only and the
+    # best matching is the heaviest run of matches in rising order on both sides:
+    # ends[j] holds the heaviest one over a stretch of counterparts (binary indexed)
+    others = list(b.children.values())
+    place = {n.label: j for j, n in enumerate(others, 1)}
+    ends: list[tuple[int, tuple]] = [(0, ())] * (len(others) + 1)
+
+    def heaviest(j: int) -> tuple[int, tuple]:
+        best = ends[0]
+        while j:
+            if ends[j][0] > best[0]:
+                best = ends[j]
+            j &= j - 1
+        return best
+
+    for n in a.children.values():
+        if n.label in place:
+            j = place[n.label]
+            size, inner = simple_tree_matching(n, others[j - 1])
+            before, chain = heaviest(j - 1)
+            longer = (before + size, (chain, inner))
+            while j <= len(others):
+                if longer[0] > ends[j][0]:
+                    ends[j] = longer
+                j += j & -j
+    score, chain = heaviest(len(others))
     pairs = [(a, b)]
     while chain:
-        chain, cell = chain
-        pairs += found[cell][1]
+        chain, inner = chain
+        pairs += inner
     return score + 1, pairs
 
 
