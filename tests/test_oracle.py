@@ -14,7 +14,8 @@ FAST = ["p1_clean_text", "p3_lexicon_sentiment", "n1_source_max_scaling", "a1_so
         "a6_weekly_series", "f5_momentum_backtest", "p7_p9_topic_defaults", "a12_pixel_stats",
         "p13_audio_scores", "p14_audio_genre", "a3_modal_topic_summary", "x5_similarity_edges",
         "p15_genome_axes", "p16_p17_genome", "p23_fill_features", "a8_fusion_topic_scores", "m1_learned_fusion",
-        "x11_p33_softmax_membership", "s11_source_union", "s13_s14_harvest_log", "t1_t2_rescored_topics"]
+        "x11_p33_softmax_membership", "s11_source_union", "s13_s14_harvest_log", "t1_t2_rescored_topics",
+        "k1_published_runs", "f1_ridge_momentum_forecast", "x9_singular_value_powers"]
 
 
 def _norm(rows, cols):

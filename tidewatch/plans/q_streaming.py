@@ -3,6 +3,7 @@ table (landed as several files by Spark so the stream sees several batches)."""
 
 from __future__ import annotations
 
+from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from tidewatch.operators import scoring as SC
@@ -11,6 +12,7 @@ from tidewatch.plans.registry import register
 from tidewatch.session import scratch_path
 from tidewatch.sources import config as C
 from tidewatch.sources import ingest as I
+from tidewatch.sources import publish as P
 from tidewatch.sources import tables
 from tidewatch.streaming import mentions as ST
 
@@ -190,3 +192,38 @@ def s13_s14_harvest_log(spark, sf_dir):
             I.append_harvest_log(spark, path, run, "batch", top, "n/a")
     before = F.element_at(F.array(*[F.lit(n) for n in seen]), F.col("iteration").cast("int"))
     return C.load_table_or_empty(spark, path, _LOG).withColumn("rows_before", before)
+
+
+@register("k1_published_runs", _two_runs_sql() + """
+SELECT 'after failure' AS seen, CAST(1 AS BIGINT) AS run, topic, round(final_score_with_novelty, 6) AS score,
+       (SELECT CAST(count(*) AS BIGINT) FROM source_summary_p) AS summary_rows FROM final_p
+UNION ALL
+SELECT 'after retry', CAST(2 AS BIGINT), topic, round(final_score_with_novelty, 6),
+       (SELECT CAST(count(*) AS BIGINT) FROM source_summary) FROM final""")
+def k1_published_runs(spark, sf_dir):
+    """Two runs (without the last day, then all events) published as units.  The
+    second one first fails in its second table and is then repeated; the
+    scores a reader sees are read back after the failure and after the retry."""
+    m = tables.mentions(spark, sf_dir).withColumn("text", F.lit(""))
+    last = m.agg(F.max("date")).first()[0]
+    path, seen = f"{scratch_path(spark, 'published')}/out", []
+
+    def look(when):
+        count = P.manifest(spark, path).where("name = 'source_summary'").select("run", F.col("row_count").alias("summary_rows"))
+        run = P.last_run(spark, path)
+        scores = P.read_published(spark, path, "final_topic_scores", run).select(
+            F.lit(when).alias("seen"), F.lit(run).cast("bigint").alias("run"), "topic", F.col("final_score_with_novelty").alias("score"))
+        seen.append(scores.join(F.broadcast(count.where(F.col("run") == run)), "run"))   # one row
+
+    for run, records in ((1, m.where(F.col("date") < F.lit(last))), (2, m)):
+        summary = SC.source_summary_one_pass(records).checkpoint()
+        out = {"final_topic_scores": SC.topic_scores(summary), "source_summary": summary}
+        if run == 2:
+            broken = summary.withColumn("topic", F.raise_error(F.lit("this attempt ends here")).cast("string"))
+            try:
+                P.publish(spark, path, run, {**out, "source_summary": broken})
+            except PySparkException:
+                look("after failure")
+        P.publish(spark, path, run, out)
+    look("after retry")
+    return seen[0].unionByName(seen[1])
