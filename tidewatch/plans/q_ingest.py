@@ -43,21 +43,20 @@ PAGE_SIZE = 20   # articles per landed request
 
 def _landed_news(spark, sf_dir) -> str:
     """Documents + events landed as article payloads (JSON Lines, one document
-    per request), written by Spark to the shared folder."""
-    s = tables.signals(spark, sf_dir)
+    per request, compressed), written by Spark to the shared folder.
+
+    A request holds a topic's articles of one day and text, at most PAGE_SIZE of
+    them, however hot a topic-day is; texts are not shuffled to be grouped."""
     title = F.substring_index("text", "\n", 1)
-    art = F.struct(title.alias("title"),
-                   F.expr("substring(text, length(substring_index(text, '\\n', 1)) + 2)").alias("description"),
-                   F.date_format("date", "yyyy-MM-dd'T'00:00:00'Z'").alias("publishedAt"),
-                   F.concat(F.lit("doc://"), F.col("source_item_id").cast("string")).alias("url"),
-                   F.lit(None).cast("string").alias("urlToImage"))
-    # one request per (topic, day, block of PAGE_SIZE consecutive ids): every
-    # payload holds at most PAGE_SIZE articles, however hot a topic-day is
-    page = F.floor(F.col("source_item_id") / PAGE_SIZE)
-    payload = (s.groupBy("topic", "date", page.alias("_page")).agg(F.collect_list(art).alias("articles"))
-               .select("topic", F.lit(0).cast("bigint").alias("request_ordinal"), "articles"))
+    rest = F.expr("substring(text, length(substring_index(text, '\n', 1)) + 2)")
+    pages = tables.signal_pages(spark, sf_dir, PAGE_SIZE).select(
+        "topic", "ids", title.alias("_title"), rest.alias("_rest"), F.date_format("date", "yyyy-MM-dd'T'00:00:00'Z'").alias("_at"))
+    art = F.transform("ids", lambda i: F.struct(
+        F.col("_title").alias("title"), F.col("_rest").alias("description"), F.col("_at").alias("publishedAt"),
+        F.concat(F.lit("doc://"), i.cast("string")).alias("url"), F.lit(None).cast("string").alias("urlToImage")))
+    payload = pages.select("topic", F.lit(0).cast("bigint").alias("request_ordinal"), art.alias("articles"))
     path = scratch_path(spark, "landed-news")
-    payload.write.mode("overwrite").json(path)
+    payload.write.mode("overwrite").option("compression", "gzip").json(path)
     return path
 
 
