@@ -45,3 +45,19 @@ def test_a_hundred_thousand_terms(spark):
     for r in docs.collect():
         want = 3 if "que " in r.t else 4 if "ing the" in r.t else None
         assert got[r.doc_id] == want or got[r.doc_id] < (want if want is not None else 5)
+
+
+def test_genre_summary_reads_only_what_the_genre_needs(spark):
+    """Without partials neither sentiment nor image features are computed for genre counts."""
+    from tidewatch.operators import modal as M
+    df = spark.createDataFrame([("p", "a", "s", 0.5), ("p", "a", None, 0.1), ("p", None, "s", 0.1), (None, "a", "s", 0.1), ("q", "b", "s", None)],
+                               "topic string, audio_genre_label string, source string, x double")
+    full = df.select("*", *[F.raise_error(F.lit("not needed")).cast("double").alias(c) for c in M.MODAL_MEANS])
+    got = [tuple(r) for r in M.audio_genre_summary(full).collect()]
+    assert got == [("p", "a", 2, 1.0), ("q", "b", 1, 1.0)]
+
+
+def test_keywords_that_overlap_themselves():
+    m = KW.Matcher([["aa", "aba"], ["b", "aa"]])
+    for text in ("aaaaa", "ababababa", "", "aabaab", "xaaabax"):
+        assert m.counts(text) == [text.count("aa") + text.count("aba"), text.count("b") + text.count("aa")]

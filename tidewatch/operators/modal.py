@@ -289,8 +289,11 @@ def _modal_partials(enriched: DataFrame, extra_sums: dict | None = None) -> Data
 
 
 def genre_counts(enriched: DataFrame, partials: DataFrame | None = None) -> DataFrame:
-    p = partials if partials is not None else _modal_partials(enriched)
-    return (p.where(F.col("audio_genre_label").isNotNull())
+    """Records per (topic, genre); without ``partials`` only what the genre needs is computed."""
+    if partials is None:
+        named = enriched.where(F.col("topic").isNotNull() & F.col("audio_genre_label").isNotNull())
+        return named.groupBy("topic", "audio_genre_label").agg(F.count(F.lit(1)).alias("record_count"))
+    return (partials.where(F.col("audio_genre_label").isNotNull())
             .groupBy("topic", "audio_genre_label").agg(F.sum("_n").alias("record_count")))
 
 
