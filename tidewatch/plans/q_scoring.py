@@ -14,8 +14,8 @@ from tidewatch.plans.registry import register
 from tidewatch.sources import tables
 
 
-def prepared_signals(spark, sf_dir, scale: bool = True):
-    return scoring.prepare_records(tables.signals(spark, sf_dir), lexicon=dict(params.LEXICON),
+def prepared_signals(spark, sf_dir, scale: bool = True, about=()):
+    return scoring.prepare_records(tables.signals(spark, sf_dir, about), lexicon=dict(params.LEXICON),
                                    negators=params.NEGATORS, scale=scale)
 
 
