@@ -17,12 +17,20 @@ from tidewatch.sources import tables
 from tidewatch.streaming import mentions as ST
 
 
-def landed_events(spark, sf_dir, repeats: bool = False) -> str:
-    """The events table landed as one file per calendar week, appended in
-    event-time order (as a harvester would), so the stream sees several
+FILE_EVENTS = 250_000   # events of a landed file, about
+
+
+def landed_events(spark, sf_dir, repeats: bool = False) -> tuple[str, int]:
+    """(path, files per week) of the events table landed by calendar week, appended
+    in event-time order (as a harvester would), so the stream sees several
     batches arriving in order.  With ``repeats`` every third event of a week
     is landed a second time in the same week.
 
+    Every week has the same number of files, one for few events, so a stream that
+    takes that many at a time has a batch per week, whatever the size of the table
+    and the number of tasks.  (A week of fewer events than files has fewer; batches then
+    reach into the next week, still in order.)
+
     One pass writes a week-partitioned staging table; each week is then
     appended from its own partition (partition pruning), so landing costs two
     passes over the data, not one per week.
@@ -33,13 +41,14 @@ def landed_events(spark, sf_dir, repeats: bool = False) -> str:
         "week", F.date_format(F.date_trunc("week", F.col("ts").cast("timestamp")), "yyyy-MM-dd"))
     ev.write.mode("overwrite").partitionBy("week").parquet(staging)
     staged = spark.read.parquet(staging)
-    weeks = [r["week"] for r in staged.select("week").distinct().orderBy("week").collect()]  # calendar-bounded
+    weeks = {r["week"]: r["count"] for r in staged.groupBy("week").count().orderBy("week").collect()}  # calendar-bounded
+    files = max(1, -(-max(weeks.values(), default=0) // FILE_EVENTS))
     for wk in weeks:
         week = staged.where(F.col("week") == F.lit(wk)).drop("week")
         if repeats:
             week = week.unionByName(week.where("event_id % 3 = 0"))
-        week.write.mode("append").parquet(path)
-    return path
+        week.repartition(files, "event_id").write.mode("append").parquet(path)
+    return path, files
 
 
 # The weeks' files arrive in order, the events of a week in any order: a week
@@ -50,7 +59,7 @@ _PASSED = "<= (SELECT max(ts) - INTERVAL 8 DAY FROM events)"
 
 
 def _stream(spark, sf_dir, repeats=False):
-    return ST.mention_stream(spark, landed_events(spark, sf_dir, repeats), max_files_per_trigger=1)
+    return ST.mention_stream(spark, *landed_events(spark, sf_dir, repeats))
 
 
 @register("t4_stream_daily_counts", with_ctes(MENTIONS) + f"""
@@ -97,7 +106,8 @@ def t3_stream_dedup_ids(spark, sf_dir):
 @register("t1_t2_continuous_rescoring")
 def t1_t2_continuous_rescoring(spark, sf_dir):
     """One harvest-log row per micro-batch with the top topic so far."""
-    return ST.continuous_rescoring(spark, landed_events(spark, sf_dir)).select(
+    path, files = landed_events(spark, sf_dir)
+    return ST.continuous_rescoring(spark, path, max_files_per_trigger=files).select(
         "iteration", "mode", "top_topic", "mentions_seen")
 
 
@@ -115,7 +125,8 @@ def t1_t2_rescored_topics(spark, sf_dir):
     """Topic scores of the stream's state after its last batch, next to the
     harvest log's last row: what one batch run over all events gives."""
     base = scratch_path(spark, "rescored")
-    log = ST.continuous_rescoring(spark, landed_events(spark, sf_dir), base=base)
+    path, files = landed_events(spark, sf_dir)
+    log = ST.continuous_rescoring(spark, path, max_files_per_trigger=files, base=base)
     last = log.agg(F.max_by("top_topic", "iteration").alias("logged_top_topic"),
                    F.max_by("mentions_seen", "iteration").alias("mentions_seen"))
     return ST.rescored_topics(spark, base).crossJoin(F.broadcast(last))   # one row
