@@ -94,18 +94,29 @@ def _describe(size: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             raw, off = K.text_buffers(batch.column(1))
-            n, digest, kept, sketch = [], [], [], []
+            n, digest, kept = [], [], []
             for own in shingle_sets(raw, off, size):
                 n.append(len(own))
                 digest.append(xxhash.xxh3_128_digest(own.tobytes()))
                 kept.append(retained(own))
-                sketch.append(np.unique((own[:SKETCH] >> np.uint64(32)).astype(np.uint32)).tobytes())
             ends = np.cumsum([0] + [len(x) for x in kept])
             values = np.concatenate(kept).view(np.int64) if kept else np.zeros(0, dtype=np.int64)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(n, pa.int64()), pa.array(digest, pa.binary()),
-                 pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(values)),
-                 pa.array(sketch, pa.binary())], ["doc_id", "n", "digest", "kept", "sketch"])
+                 pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(values))], ["doc_id", "n", "digest", "kept"])
+    return run
+
+
+def _sketches(size: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            raw, off = K.text_buffers(batch.column(1))
+            n, sketch = [], []
+            for own in shingle_sets(raw, off, size):
+                n.append(len(own))
+                sketch.append(np.unique((own[:SKETCH] >> np.uint64(32)).astype(np.uint32)).tobytes())
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(sketch, pa.binary())],
+                                             ["doc_id", "n", "sketch"])
     return run
 
 
@@ -313,7 +324,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     scratch = Scratch(docs.sparkSession, "neardup")
     rows = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     described = scratch.keep(rows.mapInArrow(
-        _describe(shingle), "doc_id bigint, n bigint, digest binary, kept array<bigint>, sketch binary"), "described")
+        _describe(shingle), "doc_id bigint, n bigint, digest binary, kept array<bigint>"), "described")
     known = described.where("n > 0 AND doc_id IS NOT NULL")
     copies = scratch.keep(known.groupBy("digest").agg(F.min("doc_id").alias("rep")), "copies")
     reps = copies.select(F.col("rep").alias("doc_id"))
@@ -325,11 +336,14 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     lists = (entries.groupBy("v").agg(F.count(F.lit(1)).alias("c"), F.min(F.struct("doc", "n")).alias("lead"))
              .where("c > 1").select("v", "c", F.col("lead.doc").alias("leader"), F.col("lead.n").alias("leader_n")))
     listed = scratch.keep(entries.join(lists, "v"), "listed")
-    in_lists = described.where("n >= 1").join(listed.select(F.col("doc").alias("doc_id")).distinct(), "doc_id", "left_semi")
-    sketches = scratch.keep(in_lists.select("doc_id", "n", "sketch").dropDuplicates(["doc_id"]), "sketches")
-    # retained values and sketches of all documents are not read again
+    # retained values of all documents are not read again
     narrow = scratch.keep(described.select("doc_id", "n", "digest"), "narrow")
     scratch.drop("described")
+    # sketches are the widest table: built from the texts once they are needed, and never held
+    # next to the retained values or of documents without lists
+    sketches = rows.where("doc_id IS NOT NULL").mapInArrow(_sketches(shingle), "doc_id bigint, n bigint, sketch binary").where("n >= 1")
+    sketches = scratch.keep(sketches.join(listed.select(F.col("doc").alias("doc_id")).distinct(), "doc_id", "left_semi")
+                            .dropDuplicates(["doc_id"]), "sketches")
 
     # first round: the most frequent leader of each document
     first = (listed.where(F.col("doc") != F.col("leader")).where(_sizes_fit("n", "leader_n", percent))
