@@ -66,3 +66,35 @@ def test_no_row_per_occurrence(spark):
     for out in (N.topic_term_counts(df), N.term_counts(df, "cluster")):
         assert "Generate" not in out._jdf.queryExecution().toString()
     assert TP.class_tfidf(df).first().cluster == 1
+
+
+def numbered(rows, stops=STOPS):
+    sums, got = TM.TermSums(stops), Counter()
+    texts = pa.array([None] + [t for _, t in rows], pa.string()).slice(1)   # an array that begins inside its buffers
+    for part in (*sums.add(texts, pa.array([g for g, _ in rows], pa.string())), *sums.flush()):
+        for g, t, c in zip(*part):
+            got[g, t.as_py()] += int(c)
+    return got
+
+
+def test_words_of_every_length(monkeypatch):
+    """Words of one or two integers, longer ones, words that share a slot, and bytes 0."""
+    r = random.Random(7)
+    words = ["abcdefghijklmnopqrstuvwxyz"[:n] for n in range(1, 21)] + ["abcdefgh" + x for x in "xyz"] + ["é" * n for n in range(1, 10)]
+    words += ["the", "of", "日本", "😀"] + ["".join(r.choices("abcd", k=r.randint(2, 12))) for _ in range(300)]
+    rows = [(r.choice("pq"), " ".join(r.choices(words, k=40))) for _ in range(100)] + [("p", ""), ("q", " a  ab "), ("p", None)]
+    for bits in (1, 4, 19):
+        monkeypatch.setattr(TM, "SLOT_BITS", bits)
+        assert numbered(rows) == plain(rows)
+    rows.append(("p", "ab\0 ab ab\0\0 abcdefghi\0 abcdefghi"))
+    assert numbered(rows) == plain(rows)
+
+
+def test_known_words_cost_no_look_up():
+    """Each slice used to hash all its tokens and to look each of its words up once more."""
+    sums = TM.TermSums(STOPS)
+    texts = pa.array(["many words and a few more"] * 5, pa.string())
+    list(sums.add(texts))
+    sums.words.one = None   # a look-up would fail
+    list(sums.add(texts))
+    assert sum(int(n) for _, _, counts in sums.flush() for n in counts) == 10 * (5 + 4)

@@ -41,3 +41,11 @@ def test_compact_cleaning_costs_about_as_much_as_the_other(spark):
 
     assert seconds("") < 4 * seconds(" ")
     df.unpersist()
+
+
+def test_url_pattern_runs_only_where_a_url_can_be(spark):
+    df = spark.createDataFrame([("See http://a.b/C?d now http",), ("xHTTPS://q\tr http http://",), ("no link, at all",), ("",), (None,)], "t string")
+    got = [r[0] for r in df.select(clean_text("t")).collect()]
+    assert got == ["see now http", "x r http", "no link at all", "", ""]
+    assert [r[0] for r in df.select(clean_text("t", "")).collect()] == got
+    assert "contains(" in df.select(clean_text("t"))._jdf.queryExecution().optimizedPlan().toString().lower()
