@@ -61,3 +61,17 @@ def test_keywords_that_overlap_themselves():
     m = KW.Matcher([["aa", "aba"], ["b", "aa"]])
     for text in ("aaaaa", "ababababa", "", "aabaab", "xaaabax"):
         assert m.counts(text) == [text.count("aa") + text.count("aba"), text.count("b") + text.count("aa")]
+
+
+def test_few_keywords_are_searched_one_by_one(monkeypatch):
+    """Either way gives the same numbers; for a few keywords the automaton, which makes an object of every occurrence, stays idle."""
+    r = random.Random(9)
+    groups = [["ab", "b", "aba", ""], ["aa", "ab"], [], ["日", "aab"]]
+    texts = [None, ""] + ["".join(r.choice("ab日 ") for _ in range(r.randint(0, 60))) for _ in range(200)]
+    few = KW.Matcher(groups)
+    with monkeypatch.context() as m:
+        m.setattr(KW, "FEW", 0)
+        want = [(few.distinct(t), few.counts(t)) for t in texts]
+    few.automaton = None
+    assert [(few.distinct(t), few.counts(t)) for t in texts] == want
+    assert KW.Matcher([]).counts("ab") == [] and KW.Matcher([[""]]).distinct("ab") == [0]
